@@ -49,28 +49,26 @@ def scd2_build(
 
 def scd2_apply(
     history: DataFrame,
+    log: DataFrame,
     changes: DataFrame,
     key: Sequence[str],
     updated_at: str,
     tracked: Sequence[str],
+    tie: Sequence[Column] = (),
     unit: str = "year",
 ) -> DataFrame:
     """History after new status rows, late ones included.
 
-    Only keys with a change are rebuilt: their versions become log rows again, which lets a late
-    row split an existing version. All other keys pass through untouched.
+    Only keys with a change are rebuilt, from their rows in the stored ``log`` and the changes: a
+    late row can split a version whose later, equal status rows the history no longer shows. All
+    other keys pass through untouched. At one instant a changed row counts before a stored one.
     """
     key = list(key)
-    attributes = [c for c in changes.columns if c not in key and c != updated_at]
     touched = changes.select(*key).dropna().distinct()
-    old = history.join(touched, key, "left_semi").select(
-        *key, F.col("valid_from").alias(updated_at), *attributes, F.lit(0).alias("_arrival")
-    )
-    new = changes.select(*key, updated_at, *attributes, F.lit(1).alias("_arrival"))
-    rebuilt = scd2_build(
-        old.unionByName(new), key, updated_at, tracked,
-        [F.col("_arrival").desc(), audit_hash(*tracked)], unit,
-    ).drop("_arrival")
+    old = log.join(touched, key, "left_semi").withColumn("_arrival", F.lit(0))
+    rows = old.unionByName(changes.withColumn("_arrival", F.lit(1)))
+    order = [F.col("_arrival").desc(), *(tie or [audit_hash(*tracked)])]
+    rebuilt = scd2_build(rows, key, updated_at, tracked, order, unit).drop("_arrival")
     return history.join(touched, key, "left_anti").unionByName(rebuilt)
 
 
