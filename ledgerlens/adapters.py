@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.keys import surrogate_key
 from ledgerlens.functions.rules import lookup
 from ledgerlens.operators.history import scd2_build
+from ledgerlens.operators.lineage import materialize
 from ledgerlens.operators.windows import latest, mode_of
 
 # Codes that the benchmark values stand for.
@@ -62,6 +63,11 @@ def _state(nation: str) -> Column:
     )
 
 
+def _millionths(units: Column) -> Column:
+    one = F.lit("0.000001").cast("decimal(6,6)")
+    return (units.cast("decimal(18,0)") * one).cast("decimal(18,6)")
+
+
 def expenses(
     spark: SparkSession,
     sf_dir: str,
@@ -72,8 +78,9 @@ def expenses(
     """Expense documents. Supplier name, kind and static person attributes are joined on demand."""
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
-    price = F.col("l_extendedprice").cast("decimal(12,2)") * F.lit(0.05).cast("decimal(3,2)")
-    cut = price * F.col("l_discount").cast("decimal(4,2)")
+    # amounts in whole millionths first: the source doubles hold two decimals exactly
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    off = F.rint(F.col("l_discount") * 100).cast("bigint")
     when = _forward("o_orderdate")
     df = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     extra = []
@@ -110,9 +117,9 @@ def expenses(
         F.when(F.col("l_returnflag") == "N", F.lit(" "))
         .when(F.col("l_returnflag") == "R", F.concat(F.lit("https://doc/"), F.col("l_orderkey")))
         .alias("url_documento"),
-        price.cast("decimal(18,6)").alias("valor_documento"),
-        cut.cast("decimal(18,6)").alias("valor_glosa"),
-        (price - cut).cast("decimal(18,6)").alias("valor_liquido"),
+        _millionths(cents * 500).alias("valor_documento"),
+        _millionths(cents * 5 * off).alias("valor_glosa"),
+        _millionths(cents * 5 * (100 - off)).alias("valor_liquido"),
         *extra,
     )
 
@@ -157,7 +164,7 @@ def party_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deputy_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Party versions with the static attributes of the person."""
+    """Party versions with the static attributes of the person, as a stored dimension."""
     static = deputies(spark, sf_dir).select(
         "nk_deputado", "nome_deputado", "nome_civil", "sigla_uf", "condicao_eleitoral", "situacao",
         "id_legislatura",
@@ -165,7 +172,7 @@ def deputy_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = party_history(spark, sf_dir).withColumnsRenamed(
         {"deputado_id": "nk_deputado", "scd_id": "sk_deputado"}
     )
-    return versions.join(static, "nk_deputado", "left")
+    return materialize(versions.join(static, "nk_deputado", "left"), "versions")
 
 
 def _roll_call_id(ts: str) -> Column:

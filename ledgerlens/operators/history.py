@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import truth
 from ledgerlens.functions.dates import days_between
 from ledgerlens.functions.keys import audit_hash, surrogate_key
 from ledgerlens.operators.joins import not_in
-from ledgerlens.operators.windows import latest, next_in_time, previous_in_time
+from ledgerlens.operators.windows import in_buckets, next_in_buckets, previous_in_buckets
 
 
 def scd2_build(
@@ -31,11 +31,19 @@ def scd2_build(
     rows = log.dropna(subset=[*key, updated_at]).select(
         *log.columns, audit_hash(*tracked).alias("_state")
     )
+    # all windows below share the partitioning by (key, bucket): one shuffle of the log
     order = list(tie) or [F.col("_state")]
-    states = latest(rows, [*key, updated_at], order)
-    seen = previous_in_time(states, key, updated_at, "_state", "_before", unit=unit)
+    instant = Window.partitionBy(*key, "_bucket", updated_at).orderBy(*order)
+    states = (
+        in_buckets(rows, updated_at, unit)
+        .repartition(*key, "_bucket")
+        .withColumn("_nth", F.row_number().over(instant))
+        .where(F.col("_nth") == 1)
+        .drop("_nth")
+    )
+    seen = previous_in_buckets(states, key, updated_at, "_state", "_before")
     starts = seen.where(F.col("_before").isNull() | (F.col("_before") != F.col("_state")))
-    versions = next_in_time(starts, key, updated_at, "valid_to", unit=unit)
+    versions = next_in_buckets(starts, key, updated_at, "valid_to")
     attributes = [c for c in log.columns if c not in key and c != updated_at]
     return versions.select(
         surrogate_key(*key, updated_at).alias("scd_id"),

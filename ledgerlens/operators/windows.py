@@ -61,31 +61,27 @@ def period_growth(
     return both.withColumn(out, growth_percent(value, previous_value))
 
 
-def previous_in_time(
-    df: DataFrame,
-    key: Sequence[str],
-    time: str,
-    value: str,
-    out: str,
-    tie: Sequence[str] = (),
-    unit: str = "year",
+def in_buckets(df: DataFrame, time: str, unit: str = "year") -> DataFrame:
+    """Calendar bucket of each row, which splits the log of one key over several tasks."""
+    return df.withColumn("_bucket", F.date_trunc(unit, F.col(time)))
+
+
+def previous_in_buckets(
+    df: DataFrame, key: Sequence[str], time: str, value: str, out: str, tie: Sequence[str] = ()
 ) -> DataFrame:
-    """LAG per key over a log of any length.
+    """LAG per key for rows with a ``_bucket``; keeps the bucket and its partitioning.
 
-    The window runs inside (key, calendar bucket); the first row of a bucket takes the last value
-    of the key's previous bucket. One key with a third of the log is spread over its buckets.
+    The window runs inside (key, bucket); the first row of a bucket takes the last value of the
+    key's previous bucket, from a table with one row per key and bucket.
     """
     key, tie = list(key), list(tie)
     w = Window.partitionBy(*key, "_bucket").orderBy(time, *tie)
-    inside = df.withColumn("_bucket", F.date_trunc(unit, F.col(time))).withColumns(
-        {out: F.lag(value).over(w), "_row": F.row_number().over(w)}
-    )
-    ends = inside.groupBy(*key, "_bucket").agg(
+    inside = df.withColumns({out: F.lag(value).over(w), "_row": F.row_number().over(w)})
+    ends = df.groupBy(*key, "_bucket").agg(
         F.max_by(F.col(value), F.struct(time, *tie)).alias("_end")
     )
-    carry = ends.select(
-        *key, "_bucket", F.lag("_end").over(Window.partitionBy(*key).orderBy("_bucket")).alias("_carry")
-    )
+    earlier = Window.partitionBy(*key).orderBy("_bucket")
+    carry = ends.select(*key, "_bucket", F.lag("_end").over(earlier).alias("_carry"))
     return (
         inside.join(carry, [*key, "_bucket"])
         .withColumn(out, F.when(F.col("_row") == 1, F.col("_carry")).otherwise(F.col(out)))
@@ -93,26 +89,34 @@ def previous_in_time(
     )
 
 
-def next_in_time(
-    df: DataFrame, key: Sequence[str], time: str, out: str, unit: str = "year"
-) -> DataFrame:
-    """Time of the key's next row, bucketed like :func:`previous_in_time`. Times must differ."""
+def next_in_buckets(df: DataFrame, key: Sequence[str], time: str, out: str) -> DataFrame:
+    """Time of the key's next row, like :func:`previous_in_buckets`. Times must differ."""
     key = list(key)
     w = Window.partitionBy(*key, "_bucket").orderBy(time)
-    inside = df.withColumn("_bucket", F.date_trunc(unit, F.col(time))).withColumn(
-        out, F.lead(time).over(w)
-    )
-    starts = inside.groupBy(*key, "_bucket").agg(F.min(time).alias("_begin"))
-    carry = starts.select(
-        *key, "_bucket", F.lead("_begin").over(Window.partitionBy(*key).orderBy("_bucket")).alias("_carry")
-    )
+    starts = df.groupBy(*key, "_bucket").agg(F.min(time).alias("_begin"))
+    later = Window.partitionBy(*key).orderBy("_bucket")
+    carry = starts.select(*key, "_bucket", F.lead("_begin").over(later).alias("_carry"))
     return (
-        inside.join(carry, [*key, "_bucket"])
+        df.withColumn(out, F.lead(time).over(w))
+        .join(carry, [*key, "_bucket"])
         .withColumn(out, F.coalesce(F.col(out), F.col("_carry")))
         .select(*df.columns, out)
     )
 
 
+def previous_in_time(
+    df: DataFrame,
+    key: Sequence[str],
+    time: str,
+    value: str,
+    out: str,
+    tie: Sequence[str] = (),
+    unit: str = "year",
+) -> DataFrame:
+    """LAG per key over a log of any length, spread over calendar buckets."""
+    return previous_in_buckets(in_buckets(df, time, unit), key, time, value, out, tie).drop("_bucket")
+
+
 def top_share(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -182,10 +186,10 @@ def pivot_sum(
     measure: str | Column,
     fill: object | None = 0,
 ) -> DataFrame:
-    """Rows to columns with the values given up front; one aggregation, no extra scan."""
-    value = as_col(measure)
+    """Rows to columns with the values given up front, over sums per (group, value)."""
+    merged = df.groupBy(*by, pivot).agg(F.sum(as_col(measure)).alias("_cell"))
     cells = []
     for v, name in values.items():
-        cell = F.sum(F.when(F.col(pivot) == F.lit(v), value))
+        cell = F.sum(F.when(F.col(pivot) == F.lit(v), F.col("_cell")))
         cells.append((cell if fill is None else F.coalesce(cell, F.lit(fill))).alias(name))
-    return df.groupBy(*by).agg(*cells)
+    return merged.groupBy(*by).agg(*cells)

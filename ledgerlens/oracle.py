@@ -213,9 +213,10 @@ SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, eve
 FROM events"""
 
 SQL["json_array_flatten"] = """
-SELECT l_suppkey AS deputado_id, count(*) AS linhas, CAST(sum(l_orderkey) AS BIGINT) AS soma_documentos,
+SELECT CAST(l_linenumber AS BIGINT) AS deputado_id, count(*) AS linhas,
+  CAST(sum(l_orderkey) AS BIGINT) AS soma_documentos,
   CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS valor
-FROM lineitem GROUP BY l_suppkey"""
+FROM lineitem GROUP BY l_linenumber"""
 
 SQL["align_by_name"] = """
 SELECT CAST(o_custkey AS BIGINT) AS deputado_id, o_orderkey AS cod_documento,

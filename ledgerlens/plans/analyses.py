@@ -39,12 +39,15 @@ def _exact(c: str | Column, scale: int = 8) -> Column:
 
 def overview(expenses: DataFrame) -> DataFrame:
     """One row: persons, states, parties, documents, amount, first and last year."""
-    return expenses.agg(
+    merged = expenses.groupBy("deputado_id", "sigla_uf", "sigla_partido", "ano").agg(
+        F.sum(AMOUNT).alias("_sum"), F.count("cod_documento").alias("_n")
+    )
+    return merged.agg(
         F.count_distinct("deputado_id").alias("total_deputados"),
         F.count_distinct("sigla_uf").alias("total_ufs"),
         F.count_distinct("sigla_partido").alias("total_partidos"),
-        F.count("cod_documento").alias("total_despesas"),
-        F.sum(AMOUNT).alias("valor_total"),
+        F.sum("_n").alias("total_despesas"),
+        F.sum("_sum").alias("valor_total"),
         F.min("ano").alias("ano_inicio"),
         F.max("ano").alias("ano_fim"),
     )

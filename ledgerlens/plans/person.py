@@ -44,12 +44,17 @@ def selector(facts: DataFrame, versions: DataFrame) -> DataFrame:
 
 def indicators(facts: DataFrame, person: int | Sequence[int] | None = None) -> DataFrame:
     """Headline numbers per person over documents that carry the person version."""
-    rows = only(facts, nk_deputado=person)
+    keys = ["nk_deputado", "ano", "mes", "sigla_partido", "sigla_uf", "id_legislatura"]
+    rows = only(facts, nk_deputado=person).groupBy(*keys).agg(
+        F.sum("valor_liquido").alias("_sum"),
+        F.count("valor_liquido").alias("_n"),
+        F.count("cod_documento").alias("_docs"),
+    )
     totals = rows.groupBy("nk_deputado").agg(
-        F.sum("valor_liquido").alias("total_gasto"),
-        F.count("cod_documento").alias("total_despesas"),
+        F.sum("_sum").alias("total_gasto"),
+        F.sum("_docs").alias("total_despesas"),
         F.count_distinct(dates.month_index("ano", "mes")).alias("meses_atividade"),
-        mean("valor_liquido").alias("media_por_despesa"),
+        ratio(F.sum("_sum"), F.sum("_n")).alias("media_por_despesa"),
         F.min("ano").alias("primeiro_ano"),
         F.max("ano").alias("ultimo_ano"),
         F.count_distinct("sigla_partido").alias("qtd_partidos"),

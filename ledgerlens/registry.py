@@ -113,8 +113,8 @@ def json_array_flatten(spark: SparkSession, d: str) -> DataFrame:
     )
     path = new_path(spark, "documents")
     lines = a.table(spark, d, "lineitem")
-    lines.groupBy("l_suppkey", "l_orderkey").agg(F.collect_list(item).alias("dados")).select(
-        F.col("l_suppkey").alias("deputado"), "dados"
+    lines.groupBy("l_linenumber", "l_orderkey").agg(F.collect_list(item).alias("dados")).select(
+        F.col("l_linenumber").alias("deputado"), "dados"
     ).write.partitionBy("deputado").json(path)
     schema = T.StructType.fromDDL(
         "dados array<struct<codDocumento: bigint, parcela: int, valorDocumento: double>>"
@@ -338,7 +338,9 @@ def asof_version_join(spark: SparkSession, d: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("o_custkey").alias("deputado_id"),
         F.expr("l_shipdate + INTERVAL '24' YEAR - INTERVAL '200' DAY").alias("quando"),
     )
-    versions = a.party_history(spark, d).select("deputado_id", "sigla_partido", "valid_from", "valid_to")
+    versions = materialize(a.party_history(spark, d), "versions").select(
+        "deputado_id", "sigla_partido", "valid_from", "valid_to"
+    )
     return joins.version_join(docs, versions, ["deputado_id"], "quando").drop("valid_to")
 
 
@@ -453,7 +455,8 @@ def discipline_cohesion(spark: SparkSession, d: str) -> DataFrame:
 @query
 def state_switching(spark: SparkSession, d: str) -> DataFrame:
     states = a.deputies(spark, d).select(F.col("nk_deputado").alias("deputado_id"), "sigla_uf")
-    return marts.switching(a.party_history(spark, d).join(states, "deputado_id", "left"), AS_OF)
+    versions = materialize(a.party_history(spark, d).join(states, "deputado_id", "left"), "versions")
+    return marts.switching(versions, AS_OF)
 
 
 @query
