@@ -29,7 +29,7 @@ def scd2_build(
     """
     key, tracked = list(key), list(tracked)
     rows = log.dropna(subset=[*key, updated_at]).select(
-        *log.columns, audit_hash(*tracked).alias("_state")
+        *log.columns, F.struct(*tracked).alias("_state")
     )
     # all windows below share the partitioning by (key, bucket): one shuffle of the log
     order = list(tie) or [F.col("_state")]
@@ -42,7 +42,7 @@ def scd2_build(
         .drop("_nth")
     )
     seen = previous_in_buckets(states, key, updated_at, "_state", "_before")
-    starts = seen.where(F.col("_before").isNull() | (F.col("_before") != F.col("_state")))
+    starts = seen.where(~F.col("_before").eqNullSafe(F.col("_state")))
     versions = next_in_buckets(starts, key, updated_at, "valid_to")
     attributes = [c for c in log.columns if c not in key and c != updated_at]
     return versions.select(

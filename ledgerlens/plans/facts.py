@@ -10,7 +10,6 @@ from ledgerlens.functions.columns import count_where, pick_where, truth
 from ledgerlens.functions.keys import surrogate_key
 from ledgerlens.functions.numeric import percent, percent_or_zero
 from ledgerlens.functions.text import filled, truthy
-from ledgerlens.operators.aggregates import text_list
 from ledgerlens.operators.joins import version_join
 from ledgerlens.operators.rows import value_if
 
@@ -248,8 +247,10 @@ def bill_fact(
         pick_where(proponent, "sigla_uf_autor").alias("uf_proponente"),
     )
     author = F.col("deputado_autor_id") if per_author else F.col("deputado_proponente_id")
-    themed = topics.groupBy("proposicao_id").agg(F.count(F.lit(1)).alias("total_temas")).join(
-        text_list(topics, ["proposicao_id"], "tema", "temas_proposicao"), "proposicao_id", "left"
+    labels = topics.groupBy("proposicao_id", "tema").agg(F.count(F.lit(1)).alias("_times"))
+    themed = labels.groupBy("proposicao_id").agg(
+        F.sum("_times").alias("total_temas"),
+        F.array_join(F.array_sort(F.collect_list("tema")), ", ").alias("temas_proposicao"),
     )
     approved = truthy("aprovada")
     voted = (

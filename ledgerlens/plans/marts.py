@@ -50,8 +50,9 @@ def spend_per_person(
 
     Documents without a valid version keep a placeholder, or are left out with
     ``require_version``. Only the version key travels with the documents; names and other
-    attributes are joined to the finished totals. Spark shuffles the distinct counts on
-    (version, document) and (version, month), so a person with very many documents is spread.
+    attributes are joined to the finished totals. Amounts are merged per (version, month) and
+    documents per (version, document), so a person with very many documents is spread over tasks
+    and no row is multiplied for the distinct counts.
     """
     keys = versions.select("nk_deputado", "sk_deputado", "valid_from", "valid_to")
     joined = with_versions(
@@ -63,31 +64,47 @@ def spend_per_person(
         "gastos_valor_alto": "ALTO", "gastos_valor_medio": "MEDIO",
         "gastos_valor_baixo": "BAIXO", "gastos_valor_muito_alto": "MUITO_ALTO",
     }
-    totals = joined.groupBy("nk_deputado", "sk_deputado").agg(
-        F.count_distinct("cod_documento").alias("total_documentos"),
-        F.count_distinct(dates.month_index("ano", "mes")).alias("total_meses_atividade"),
-        F.sum(amount).alias("valor_total_gasto"),
-        F.sum("valor_liquido").alias("valor_total_liquido"),
-        F.sum("valor_glosa").alias("valor_total_glosa"),
-        mean_rounded(amount).alias("valor_medio_mensal"),
-        mean_rounded("valor_liquido").alias("valor_liquido_medio_mensal"),
-        percent(F.sum("valor_glosa"), F.sum(amount)).alias("percentual_glosa"),
+    joined = joined.withColumn(
+        "sk_deputado", key_or_placeholder("sk_deputado", "nk_deputado", MISSING_PERSON)
+    )
+    documents = (
+        joined.select("sk_deputado", "cod_documento").distinct()
+        .groupBy("sk_deputado").agg(F.count(F.lit(1)).alias("total_documentos"))
+    )
+    monthly = joined.groupBy("nk_deputado", "sk_deputado", "ano", "mes").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum(amount).alias("_doc"),
+        F.sum("valor_liquido").alias("_net"),
+        F.sum("valor_glosa").alias("_cut"),
         *[
-            F.round(sum_where(F.col("faixa_valor") == label, amount, 0), 2).alias(name)
+            sum_where(F.col("faixa_valor") == label, amount, 0).alias(name)
             for name, label in bands.items()
         ],
-        F.min("data_documento").alias("primeira_despesa"),
-        F.max("data_documento").alias("ultima_despesa"),
+        F.min("data_documento").alias("_first"),
+        F.max("data_documento").alias("_last"),
+    )
+    totals = monthly.groupBy("nk_deputado", "sk_deputado").agg(
+        F.count(F.lit(1)).alias("total_meses_atividade"),
+        F.sum("_doc").alias("valor_total_gasto"),
+        F.sum("_net").alias("valor_total_liquido"),
+        F.sum("_cut").alias("valor_total_glosa"),
+        round_to(ratio(F.sum("_doc"), F.sum("_rows"))).alias("valor_medio_mensal"),
+        round_to(ratio(F.sum("_net"), F.sum("_rows"))).alias("valor_liquido_medio_mensal"),
+        percent(F.sum("_cut"), F.sum("_doc")).alias("percentual_glosa"),
+        *[F.round(F.sum(name), 2).alias(name) for name in bands],
+        F.min("_first").alias("primeira_despesa"),
+        F.max("_last").alias("ultima_despesa"),
     )
     attributes = [c for c in PERSON if c not in ("sk_deputado", "deputado_id")]
-    known = totals.join(versions.select("sk_deputado", *attributes), "sk_deputado", "left")
+    known = totals.join(documents, "sk_deputado").join(
+        versions.select("sk_deputado", *attributes), "sk_deputado", "left"
+    )
     na = F.lit("N/A")
     limit = F.lit(quota) * F.col("total_meses_atividade").cast("double")
     use = F.col("percentual_uso_cota_mensal")
     return (
         known.withColumns(
             {
-                "sk_deputado": key_or_placeholder("sk_deputado", "nk_deputado", MISSING_PERSON),
                 "nome_deputado": key_or_placeholder("nome_deputado", "nk_deputado", "Deputado ID: "),
                 **{c: F.coalesce(c, na) for c in attributes[1:]},
                 "percentual_uso_cota_mensal": percent("valor_total_liquido", limit),
@@ -107,7 +124,7 @@ def spend_per_person(
 
 def spend_with_benchmarks(facts: DataFrame, versions: DataFrame) -> DataFrame:
     """Spending per person version beside the averages of its state and its party."""
-    people = spend_per_person(facts, versions, require_version=True)
+    people = materialize(spend_per_person(facts, versions, require_version=True), "spending")
 
     def averages(of: str) -> dict[str, Column]:
         return {
@@ -195,6 +212,7 @@ def productivity(
             f"taxa_aprovacao_media_{of}": mean_rounded("_success"),
         }
 
+    rated = materialize(rated, "productivity")  # read by the rows and by both averages
     both = with_group_stats(rated, ["sigla_uf"], averages("uf"))
     both = with_group_stats(both, ["sigla_partido"], averages("partido"))
     share = total.cast("double")
@@ -327,6 +345,7 @@ def presence(
             "_loyal": F.coalesce(loyalty * 100, F.lit(0.0)).cast("decimal(18,8)"),
         }
     )
+    rated = materialize(rated, "presence")  # read by the rows and by both averages
     both = with_group_stats(
         rated, ["sigla_uf"], {"taxa_fidelidade_media_uf": mean_rounded("_loyal")}
     )

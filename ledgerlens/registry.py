@@ -338,8 +338,8 @@ def asof_version_join(spark: SparkSession, d: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("o_custkey").alias("deputado_id"),
         F.expr("l_shipdate + INTERVAL '24' YEAR - INTERVAL '200' DAY").alias("quando"),
     )
-    versions = materialize(a.party_history(spark, d), "versions").select(
-        "deputado_id", "sigla_partido", "valid_from", "valid_to"
+    versions = a.deputy_versions(spark, d).select(
+        F.col("nk_deputado").alias("deputado_id"), "sigla_partido", "valid_from", "valid_to"
     )
     return joins.version_join(docs, versions, ["deputado_id"], "quando").drop("valid_to")
 
@@ -449,14 +449,12 @@ def presence_loyalty(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def discipline_cohesion(spark: SparkSession, d: str) -> DataFrame:
-    return marts.discipline(_vote_facts(spark, d))
+    return marts.discipline(materialize(_vote_facts(spark, d), "votes"))
 
 
 @query
 def state_switching(spark: SparkSession, d: str) -> DataFrame:
-    states = a.deputies(spark, d).select(F.col("nk_deputado").alias("deputado_id"), "sigla_uf")
-    versions = materialize(a.party_history(spark, d).join(states, "deputado_id", "left"), "versions")
-    return marts.switching(versions, AS_OF)
+    return marts.switching(a.deputy_versions(spark, d).withColumnRenamed("nk_deputado", "deputado_id"), AS_OF)
 
 
 @query
