@@ -50,8 +50,15 @@ YEARS = tuple(range(2019, 2026))
 DEPUTIES_SINCE = "2000-01-01 00:00:00"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Typed scan; the schema is read from the file footer once and given from then on."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _forward(c: str) -> Column:

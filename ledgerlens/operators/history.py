@@ -20,12 +20,13 @@ def scd2_build(
     updated_at: str,
     tracked: Sequence[str],
     tie: Sequence[Column] = (),
-    unit: str = "year",
+    unit: str = "month",
 ) -> DataFrame:
     """Versions ``[valid_from, valid_to)`` of the tracked attributes, NULL for the open end.
 
     Rows without key or time are dropped. Of several rows of a key at one instant the first in
-    ``tie`` order counts. Runs of equal states collapse into one version.
+    ``tie`` order counts. Runs of equal states collapse into one version. ``unit`` is the calendar
+    bucket in which one task handles one key; choose a finer one for keys with very dense logs.
     """
     key, tracked = list(key), list(tracked)
     rows = log.dropna(subset=[*key, updated_at]).select(
@@ -63,7 +64,7 @@ def scd2_apply(
     updated_at: str,
     tracked: Sequence[str],
     tie: Sequence[Column] = (),
-    unit: str = "year",
+    unit: str = "month",
 ) -> DataFrame:
     """History after new status rows, late ones included.
 

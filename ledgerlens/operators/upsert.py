@@ -95,6 +95,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _drop_folder(spark: SparkSession, path: str, names: Sequence[str], values: tuple) -> None:
-    folder = "/".join(f"{n}={v}" for n, v in zip(names, values))
+    empty = "__HIVE_DEFAULT_PARTITION__"
+    folder = "/".join(f"{n}={empty if v is None else v}" for n, v in zip(names, values))
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -61,7 +61,7 @@ def period_growth(
     return both.withColumn(out, growth_percent(value, previous_value))
 
 
-def in_buckets(df: DataFrame, time: str, unit: str = "year") -> DataFrame:
+def in_buckets(df: DataFrame, time: str, unit: str = "month") -> DataFrame:
     """Calendar bucket of each row, which splits the log of one key over several tasks."""
     return df.withColumn("_bucket", F.date_trunc(unit, F.col(time)))
 
@@ -111,7 +111,7 @@ def previous_in_time(
     value: str,
     out: str,
     tie: Sequence[str] = (),
-    unit: str = "year",
+    unit: str = "month",
 ) -> DataFrame:
     """LAG per key over a log of any length, spread over calendar buckets."""
     return previous_in_buckets(in_buckets(df, time, unit), key, time, value, out, tie).drop("_bucket")
