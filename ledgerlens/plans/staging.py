@@ -14,6 +14,11 @@ from ledgerlens.operators.windows import latest
 EARLIEST_HISTORY = "1980-01-01 00:00:00"
 EARLIEST_DATE = "2000-01-01"
 
+# Lineage labels carried in the results.
+FROM_PROFILES = "camara_deputados_detalhes"
+FROM_STATUS_LOG = "camara_deputado_historico"
+FROM_MEETINGS = "camara_eventos"
+
 
 def expenses(raw: DataFrame) -> DataFrame:
     """Distinct documents with key, date and non-negative amounts; texts trimmed."""
@@ -65,7 +70,7 @@ def profiles(raw: DataFrame) -> DataFrame:
 
 def persons(profile: DataFrame, history: DataFrame) -> DataFrame:
     """Profiles plus status rows of persons without a profile; missing attributes are NULL."""
-    first = profile.dropna(subset=["cpf"]).withColumn("fonte_dado", F.lit("camara_deputados_detalhes"))
+    first = profile.dropna(subset=["cpf"]).withColumn("fonte_dado", F.lit(FROM_PROFILES))
     log = history.where(
         F.col("data_inicio_vigencia") >= F.lit(EARLIEST_DATE).cast("timestamp_ntz")
     ).select(
@@ -81,7 +86,7 @@ def persons(profile: DataFrame, history: DataFrame) -> DataFrame:
         F.col("situacao").alias("ultimo_status_situacao"),
         F.col("url_foto").alias("ultimo_status_url_foto"),
         "uri",
-        F.lit("camara_deputado_historico").alias("fonte_dado"),
+        F.lit(FROM_STATUS_LOG).alias("fonte_dado"),
     ).distinct()
     return first.unionByName(not_in(log, first, ["deputado_id"]), allowMissingColumns=True)
 
@@ -114,7 +119,7 @@ def meetings(raw: DataFrame, as_of: str) -> DataFrame:
         F.trim("uri").alias("uri"),
         F.trim("url_documento_pauta").alias("url_documento_pauta"),
         F.col("url_documento_pauta").isNotNull().alias("tem_documento_pauta"),
-        F.lit("camara_eventos").alias("fonte_dado"),
+        F.lit(FROM_MEETINGS).alias("fonte_dado"),
     ).distinct()
 
 
