@@ -1,7 +1,8 @@
 """Document fingerprints: Merkle trees over sections, paragraphs and pieces.
 
 A text is cut into sections (at empty lines), paragraphs (at line ends) and, so that one long line
-still has branches, pieces of some 30 bytes whose borders depend on the bytes around them alone.
+still has branches, pieces of some 60 bytes (16 at the start of the text) whose borders depend on
+the bytes around them alone.
 Every byte belongs to exactly one piece. A piece's digest is a hash of its bytes, an inner node's
 the hash of its children's digests, up to the root. The fingerprint is written as the root and the
 digests of the pieces, ``root:piece.piece;piece/piece`` with ``;`` between paragraphs and ``/``
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import frames, table, text_key, texts, whole
 
-CUT_BITS = 5  # a border after one byte in 2**CUT_BITS on average
+CUT_BITS = 6  # a border after one byte in 2**CUT_BITS on average
+FINE_BITS, FINE_BYTES = 4, 256  # finer at the start, so that short texts have branches too
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BLOCK = 1 << 20
 
@@ -37,7 +39,10 @@ def _borders(data: np.ndarray) -> np.ndarray:
         word = np.zeros(len(part), np.uint64)
         for k in range(min(8, len(part))):  # byte i with the seven before it; fewer at the start of the text
             word[k:] |= part[: len(part) - k].astype(np.uint64) << np.uint64(8 * k)
-        cut = ((word * _MIX) >> np.uint64(64 - CUT_BITS)) == 0
+        word *= _MIX
+        cut = (word >> np.uint64(64 - CUT_BITS)) == 0
+        if at == 0:
+            cut[:FINE_BYTES] = (word[:FINE_BYTES] >> np.uint64(64 - FINE_BITS)) == 0
         cut |= part == 10
         found.append(np.flatnonzero(cut[lead:]) + at)
     return np.concatenate(found) if found else np.zeros(0, np.int64)
