@@ -45,7 +45,7 @@ class Ids:
             self.known = {"": b""}
         known = self.known
         split = [t.replace("\n", " ").split(" ") for t in values]
-        fresh = list({w for words in split for w in words} - known.keys())
+        fresh = [w for w in {w for words in split for w in words} if w not in known]
         for at in range(0, len(fresh), 20_000):
             part = fresh[at : at + 20_000]
             made = self.tokenizer.encode_batch(part, add_special_tokens=False)

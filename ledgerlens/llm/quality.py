@@ -159,8 +159,9 @@ class Hashed:
         known, slots = self.known, self.slots
         if len(known) > self.cache:
             known.clear()
-        for word in counts.keys() - known.keys():
-            known[word] = slots(word)
+        for word in counts:
+            if word not in known:
+                known[word] = slots(word)
         both = np.fromiter(map(known.__getitem__, counts), np.int64, len(counts))
         n = np.fromiter(counts.values(), np.float64, len(counts))
         share = int(20 * n.max() / n.sum()) if len(n) else 0
@@ -243,7 +244,7 @@ _OUT = "doc_id bigint, votes string, posterior double, score double, keep boolea
 def judge(docs: DataFrame, labels: Labels, scorer: Scorer, keep: float = KEEP) -> DataFrame:
     """Per row: votes (+, - or 0 per labeller), posterior, score of the linear scorer, decision.
 
-    Null texts count as empty and are judged by their votes like others. Repeated rows get equal
+    A document goes only if scorer and posterior are both below ``keep``. Null texts count as empty and are judged by their votes like others. Repeated rows get equal
     results; an empty table gives an empty result; other columns are not read.
     """
 
@@ -257,7 +258,7 @@ def judge(docs: DataFrame, labels: Labels, scorer: Scorer, keep: float = KEEP) -
                 known = labels.posterior.get(pattern(found), labels.prior)
                 score = scorer(*hashed(words, counts)) if words else known
                 signs = "".join("-0+"[v + 1] for v in found)
-                rows.append((None if pd.isna(doc) else int(doc), signs, known, score, score >= keep))
+                rows.append((None if pd.isna(doc) else int(doc), signs, known, score, max(score, known) >= keep))
             made = pd.DataFrame(rows, columns=[c.split()[0] for c in _OUT.split(", ")])
             yield made.astype({"doc_id": "Int64"})
 
