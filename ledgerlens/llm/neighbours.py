@@ -133,7 +133,7 @@ class Graph:
             for node, new in back.items():
                 have = self.edges[node]
                 have = have[have >= 0]
-                both = np.unique(np.concatenate([have, new]))
+                both = np.unique(np.concatenate([have, np.array(new)]))
                 if len(both) > degree:
                     both = self._prune(node, both, degree, relax)
                 self.edges[node] = -1

@@ -9,7 +9,8 @@ fit nowhere are cut over the largest gaps, so a shard has at most one sequence's
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import struct
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,40 +24,90 @@ LENGTH = 4096
 END = 2
 SHARD_CHARS = 8 << 20  # characters of text per shard; its tokens are held by one task
 LINEAR, SQUARE = 1.0, 1.0 / 2048
-CACHE = 300_000  # strings whose ids a task remembers
+
+
+# Fixed value: how the tokenizer's file splits normalised text.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+class _Remembered(dict):
+    """Values made on first use; once ``room`` are held, new ones are made but not held."""
+
+    def __init__(self, make: Callable[[str], bytes], room: int):
+        super().__init__()
+        self.make, self.room = make, room
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(self) < self.room and len(key) <= 40:
+            self[key] = value
+        return value
 
 
 class Ids:
-    """Token ids of whole texts; ids of frequent strings between spaces are remembered.
+    """Token ids of whole texts, two bytes each, for tokenizers of lower-cased words.
 
-    The tokenizer never joins characters across a space or line feed, so the ids of a text are
-    those of the strings between them, one after the other.
+    The tokenizer never joins characters across a space or line feed, nor across the parts that
+    ``SPLIT`` finds. So the ids of a text are those of its parts, one after the other, and the ids
+    of frequent strings and parts are remembered. Strings that hold a special token are left to
+    the tokenizer as a whole.
     """
 
-    def __init__(self, path: str, cache: int = CACHE):
+    def __init__(self, path: str, strings: int = 400_000, parts: int = 800_000):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-        self.cache = cache
-
-    def __call__(self, values: list[str]) -> list[np.ndarray]:
-        if len(self.known) > self.cache:
-            self.known = {"": b""}
-        known = self.known
-        split = [t.replace("\n", " ").split(" ") for t in values]
-        fresh = [w for w in {w for words in split for w in words} if w not in known]
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            made = self.tokenizer.encode_batch(part, add_special_tokens=False)
-            for word, one in zip(part, made, strict=True):
-                known[word] = np.array(one.ids, "<u2").tobytes()
-        get = known.__getitem__
-        out = [np.frombuffer(b"".join(map(get, words)), "<u2") for words in split]
-        for word in fresh:  # long strings are not worth remembering
-            if len(word) > 40:
-                del known[word]
-        return out
+        special = [regex.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = regex.compile("|".join(special)) if special else None
+        self.split = regex.compile(SPLIT)
+        self.model = self.tokenizer.model
+        # a byte's stand-in: itself if it prints, else the next character from 256 on
+        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printed]
+        self.byte = {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(others)}
+        self.strings = _Remembered(self._string, strings)
+        self.parts = _Remembered(self._part, parts)
+
+    def _part(self, part: str) -> bytes:
+        if part.isascii():  # letters, digits and signs stand for themselves
+            found = self.model.tokenize(part)
+        else:
+            found = self.model.tokenize(part.encode().decode("latin-1").translate(self.byte))
+        return struct.pack(f"<{len(found)}H", *[t.id for t in found])
+
+    def _string(self, string: str) -> bytes:
+        lower = string.lower()
+        if not string.isascii():
+            # composed Latin letters only: these change case one by one and need no composing
+            simple = max(string) < "\u0250" and "\u0130" not in string and string.isprintable()
+            if not simple:
+                return self._encoded(string)
+        if lower.isalpha():
+            return self.parts[lower]
+        if lower[:-1].isalpha() and lower[-1] in ".,;:!?":
+            return self.parts[lower[:-1]] + self.parts[lower[-1]]
+        if not string.isprintable() or (self.special and self.special.search(string)):
+            return self._encoded(string)
+        return b"".join(map(self.parts.__getitem__, self.split.findall(lower)))
+
+    def _encoded(self, string: str) -> bytes:
+        made = self.tokenizer.encode(string, add_special_tokens=False).ids
+        return np.array(made, "<u2").tobytes()
+
+    def __call__(self, text: str) -> np.ndarray:
+        words = text.replace("\n", " ").split(" ")
+        return np.frombuffer(b"".join(map(self.strings.__getitem__, words)), "<u2")
+
+
+_MADE: dict[str, Ids] = {}
+
+
+def ids_of(path: str) -> Ids:
+    """One set of remembered ids per worker process, which serves many tasks."""
+    if path not in _MADE:
+        _MADE[path] = Ids(path)
+    return _MADE[path]
 
 
 _PIECES = "shard int, doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary"
@@ -69,15 +120,14 @@ def pieces(docs: DataFrame, tokenizer: str, length: int, shards: int) -> DataFra
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = Ids(tokenizer)
+        ids_in = ids_of(tokenizer)
         turn = TaskContext.get().partitionId() * 7919
         for part in parts:
             docs, values = part["doc_id"].tolist(), texts(part["text"])
             for at in range(0, len(values), 256):
                 rows = []
-                made = ids_of(values[at : at + 256])
-                for doc, ids in zip(docs[at : at + 256], made, strict=True):
-                    ids = np.append(ids, np.uint16(END))
+                for doc, text in zip(docs[at : at + 256], values[at : at + 256], strict=True):
+                    ids = np.append(ids_in(text), np.uint16(END))
                     doc = None if pd.isna(doc) else int(doc)
                     for start in range(0, len(ids), length):
                         piece = ids[start : start + length]
