@@ -53,7 +53,7 @@ class Ids:
     the tokenizer as a whole.
     """
 
-    def __init__(self, path: str, strings: int = 400_000, parts: int = 800_000):
+    def __init__(self, path: str, strings: int = 300_000, parts: int = 500_000):
         import regex
         from tokenizers import Tokenizer
 
