@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +10,14 @@ _KEY = "spark.checkpoint.dir"
 
 
 def working_folder(spark: SparkSession) -> str:
-    """Shared folder named by the session; a temporary one only for a local session."""
+    """The folder of ``spark.checkpoint.dir``; one in the warehouse where that is unset.
+
+    Both are shared by all executors; nothing is written to a folder of one machine.
+    """
     folder = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_KEY} to a folder that every executor can reach")
-    folder = getattr(spark.sparkContext, "_local_working_folder", None)
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="ledgerlens-")
-        spark.sparkContext._local_working_folder = folder
-    return folder
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

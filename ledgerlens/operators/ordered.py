@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.columns import as_col
 from ledgerlens.operators.lineage import materialize
 
-# Above this many rows a ranking is spread over partitions instead of one sorted task.
-ONE_TASK_ROWS = 100_000
-
 _LOW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -127,38 +124,45 @@ def group_median(
 
 
 def row_ranks(df: DataFrame, specs: Mapping[str, Sequence[Column]]) -> DataFrame:
-    """Global row numbers, one per named total order.
-
-    ``df`` should be a materialized table: its row count decides between one sorted task and the
-    spread-out form.
-    """
-    if df.count() <= ONE_TASK_ROWS:
-        return df.withColumns(
-            {
-                name: F.row_number().over(Window.orderBy(*order)).cast("bigint")
-                for name, order in specs.items()
-            }
-        )
+    """Global row numbers, one per named total order, spread over all tasks at any size."""
     for name, order in specs.items():
         df = ordered_prefix(df, order, rank=name)
     return df
 
 
 def percent_ranks(df: DataFrame, specs: Mapping[str, str]) -> DataFrame:
-    """Global percent rank of each named column: (rank - 1) / (rows - 1), ties share a rank."""
-    n = df.count()
-    if n <= ONE_TASK_ROWS:
-        return df.withColumns(
-            {
-                name: F.percent_rank().over(Window.orderBy(F.col(c)))
-                for name, c in specs.items()
-            }
-        )
+    """Global percent rank of each named column: (rank - 1) / (rows - 1), ties share a rank.
+
+    Equal values are merged before they are ordered; no size decides the plan.
+    """
     for name, c in specs.items():
         counted = df.groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_times"))
-        run = ordered_prefix(counted, [F.col("_v")], sums={"_upto": "_times"})
-        below = (F.col("_upto") - F.col("_times")) / F.lit(float(max(n - 1, 1)))
+        run = ordered_prefix(
+            counted, [F.col("_v")], sums={"_upto": "_times"}, totals={"_all": "_times"}
+        )
+        others = F.greatest(F.col("_all") - 1, F.lit(1)).cast("double")
+        below = (F.col("_upto") - F.col("_times")) / others
         df = df.join(
             run.select("_v", below.alias(name)), F.col(c).eqNullSafe(F.col("_v"))
         ).drop("_v")
     return df
+
+
+def dimension_row_ranks(df: DataFrame, specs: Mapping[str, Sequence[Column]]) -> DataFrame:
+    """Row numbers over a table with one row per member of a small dimension, such as parties.
+
+    One sorted task: only for tables whose size the dimension bounds.
+    """
+    return df.withColumns(
+        {
+            name: F.row_number().over(Window.orderBy(*order)).cast("bigint")
+            for name, order in specs.items()
+        }
+    )
+
+
+def dimension_percent_ranks(df: DataFrame, specs: Mapping[str, str]) -> DataFrame:
+    """Percent ranks over a table with one row per member of a small dimension."""
+    return df.withColumns(
+        {name: F.percent_rank().over(Window.orderBy(F.col(c))) for name, c in specs.items()}
+    )

@@ -513,11 +513,13 @@ def yearly_outliers(expenses: DataFrame, n: int = 5) -> DataFrame:
 
     One ordered pass per year yields rank, size and median.
     """
-    people = yearly_person_totals(expenses, "sigla_partido", "sigla_uf").join(
-        expenses.groupBy("deputado_id", "ano").agg(F.count("cod_documento").alias("qtd_despesas")),
-        ["deputado_id", "ano"],
+    people = expenses.groupBy("deputado_id", "sigla_partido", "sigla_uf", "ano").agg(
+        F.sum(AMOUNT).alias("gasto_total"), F.count("cod_documento").alias("qtd_despesas")
     )
-    order = [F.col("gasto_total").desc(), F.col("deputado_id").asc()]
+    order = [
+        F.col("gasto_total").desc(), F.col("deputado_id").asc(),
+        F.col("sigla_partido").asc(), F.col("sigla_uf").asc(),
+    ]
     ranked = ordered_prefix(people, order, ["ano"], rank="ranking", rows="_rows")
     spent = F.col("gasto_total").cast("double")
     stats = ranked.groupBy("ano").agg(

@@ -22,7 +22,7 @@ from ledgerlens.operators.aggregates import text_list
 from ledgerlens.operators.history import stays
 from ledgerlens.operators.joins import with_benchmark, with_group_stats
 from ledgerlens.operators.lineage import materialize
-from ledgerlens.operators.ordered import percent_ranks, row_ranks
+from ledgerlens.operators.ordered import dimension_percent_ranks, dimension_row_ranks
 from ledgerlens.operators.windows import previous_in_time
 from ledgerlens.plans.facts import with_versions
 
@@ -688,8 +688,8 @@ def scorecard(
     }
     orders = {n: [F.col(c).asc(), tie] for n, c in up.items()}
     orders |= {n: [F.col(c).desc(), tie] for n, c in down.items()}
-    ranked = row_ranks(table, orders)
-    ranked = percent_ranks(
+    ranked = dimension_row_ranks(table, orders)  # one row per party
+    ranked = dimension_percent_ranks(
         ranked,
         {
             "percentil_gastos": "gastos_medio_por_deputado",

@@ -134,3 +134,13 @@ def test_growth_needs_consecutive_years(spark, rows):
 def test_mode_ties_take_the_smallest(spark, rows):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, "a"), (2, "z")], "k int, v string")
     assert rows(windows.mode_of(df, ["k"], "v")) == [(1, "a"), (2, "z")]
+
+
+def test_an_open_range_covers_every_later_day(spark):
+    points = spark.sql("select explode(sequence(date'2018-12-30', date'2021-02-01')) as day")
+    ranges = spark.sql(
+        "select * from values (1, date'2019-01-01', date'2020-01-31'), (2, date'2020-02-01', null), "
+        "(3, date'2030-01-01', null) as t(term, first, last)"
+    )
+    got = joins.range_join(points, ranges, "day", "first", "last").groupBy("term").count().collect()
+    assert {r["term"]: r["count"] for r in got} == {None: 2, 1: 396, 2: 367}

@@ -56,13 +56,11 @@ def test_median_is_exact(spark, members):
     assert got == {g: median(v for _, v in items) for g, items in by_group(data).items()}
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_global_ranks_agree_in_both_forms(spark, members, monkeypatch, limit):
+@pytest.mark.parametrize("form", ["", "dimension_"])
+def test_global_ranks_agree_in_both_forms(spark, members, form):
     data, df = members
-    monkeypatch.setattr(ordered, "ONE_TASK_ROWS", limit)
-    got = ordered.percent_ranks(
-        ordered.row_ranks(df, {"r": [F.col("v").desc(), F.col("k")]}), {"p": "v"}
-    ).collect()
+    rows, percents = getattr(ordered, f"{form}row_ranks"), getattr(ordered, f"{form}percent_ranks")
+    got = percents(rows(df, {"r": [F.col("v").desc(), F.col("k")]}), {"p": "v"}).collect()
     order = [x[1] for x in sorted(data, key=lambda x: (-x[2], x[1]))]
     assert [r.k for r in sorted(got, key=lambda r: r.r)] == order
     n = len(data)
