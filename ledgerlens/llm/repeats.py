@@ -36,7 +36,7 @@ from ledgerlens.llm.common import stored, table, text_key, whole
 
 LENGTH = 100
 GRAM = 32  # the anchor's length; windows hold LENGTH - GRAM + 1 of them
-BUCKET_BYTES = 12 << 20  # text per bucket of anchors
+BUCKET_BYTES = 8 << 20  # text per bucket of anchors
 _BLOCK = 1 << 19  # window starts hashed at a time
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -319,7 +319,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BU
                         h = finder.windows(data[at : at + _BLOCK + length], some - at)
                         held.append((h, np.full(len(some), doc), np.full(len(some), key), some))
                         n += len(some)
-                if n >= 500_000:
+                if n >= 300_000:
                     yield _send(table_of(), "anchor", buckets, length)
                     held, n = [], 0
         if held:
