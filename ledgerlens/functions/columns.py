@@ -33,9 +33,14 @@ def mean_where(predicate: Column, value: str | Column) -> Column:
     return mean(F.when(predicate, as_col(value)))
 
 
-def pick_where(predicate: Column, value: str | Column) -> Column:
-    """Largest ``value`` among the matching rows: one attribute out of many rows."""
-    return F.max(F.when(predicate, as_col(value)))
+def pick_where(predicate: Column, values: Iterable[str], order: Iterable[str]) -> Column:
+    """Struct of ``values`` of the first matching row in ``order``: attributes of one row.
+
+    ``values`` break ties, so rows that still tie are equal in all that is returned.
+    """
+    values = list(values)
+    first = F.struct(*[F.col(c) for c in order], *[F.col(c).alias(f"_{c}") for c in values])
+    return F.min_by(F.struct(*values), F.when(predicate, first))
 
 
 def flag(predicate: Column, name: str) -> Column:

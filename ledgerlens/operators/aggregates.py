@@ -37,11 +37,9 @@ def herfindahl(
 ) -> DataFrame:
     """Concentration 0-100 of an entity's total over its parts: 100 means a single part."""
     parts = df.groupBy(*entity, part).agg(F.sum(value).alias("_v"))
-    v = F.col("_v").cast("decimal(24,4)")
-    squares = F.sum((v.cast("decimal(19,4)") * v.cast("decimal(19,4)")))
-    total = F.sum(v).cast("double")
+    v, total = F.col("_v").cast("double"), F.sum("_v").cast("double")
     return parts.groupBy(*entity).agg(
-        (F.try_divide(squares.cast("double"), total * total) * 100).alias(out)
+        (F.try_divide(F.sum(v * v), total * total) * 100).alias(out)
     )
 
 

@@ -7,16 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# An entity with more versions than this is matched per day instead of per entity.
-CROWDED_VERSIONS = 64
-
-# Up to this many crowded entities are broadcast: one key and one time each, a few megabytes.
-BROADCAST_ENTITIES = 100_000
-
-_ALWAYS = "DATE'1970-01-01'"
-_LAST = "DATE'9999-12-31'"
-
-
 def version_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -25,58 +15,37 @@ def version_join(
     start: str = "valid_from",
     end: str = "valid_to",
     how: str = "left",
-    crowded_above: int = CROWDED_VERSIONS,
+    first_year: int = 1990,
+    last_year: int = 2030,
 ) -> DataFrame:
     """Attach to each fact the version that was valid at its time.
 
-    Versions are half-open ``[start, end)`` with NULL for an open end and must not overlap; pass a
-    stored table, it is read more than once. The join is an equi-join on the entity plus a range
-    test, so Spark may broadcast, hash or sort it by size, and splits a skewed entity.
-
-    An entity with many versions would test every fact against every version. Such entities are
-    counted first; only if there are any, their versions are spread over the days they cover and
-    joined on (entity, day). The last version of such an entity has a bucket of its own, so an
-    open end needs no horizon.
+    Versions are half-open ``[start, end)`` with NULL for an open end and must not overlap. A
+    version stands once in every calendar year it covers, and the join is an equi-join on
+    (entity, year) plus a range test: an entity with many versions or facts is split by year, and
+    Spark may broadcast, hash or sort it by size and split what is still skewed. Years outside
+    ``first_year`` to ``last_year`` share the bucket at that edge, on both sides alike. The two
+    limits decide how finely the edges are split, never the result, so an open end needs no
+    horizon taken from the data.
     """
     on = list(on)
-    slim = versions.withColumnsRenamed({k: f"_v_{k}" for k in on})
-    match = (F.col(at) >= F.col(start)) & (F.col(end).isNull() | (F.col(at) < F.col(end)))
-    for k in on:
-        match = match & (F.col(k) == F.col(f"_v_{k}"))
 
-    crowded = (
-        versions.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_versions"), F.max(start).alias("_last"))
-        .where(F.col("_versions") > crowded_above)
-        .drop("_versions")
-    )
-    size = crowded.limit(BROADCAST_ENTITIES + 1).count()
-    if size == 0:
-        return facts.join(slim, match, how).drop(*[f"_v_{k}" for k in on])
-    if size <= BROADCAST_ENTITIES:
-        crowded = F.broadcast(crowded)
-
-    day_of_fact = (
-        F.when(F.col("_last").isNull(), F.expr(_ALWAYS))
-        .when(F.col(at) >= F.col("_last"), F.expr(_LAST))
-        .otherwise(F.to_date(at))
-    )
-    days_of_version = (
-        F.when(F.col("_last").isNull(), F.expr(f"array({_ALWAYS})"))
-        .when(F.col(start) == F.col("_last"), F.expr(f"array({_LAST})"))
-        .otherwise(
-            F.sequence(F.to_date(start), F.to_date(F.coalesce(F.col(end), F.col("_last"))))
-        )
-    )
-    left = facts.join(crowded, on, "left").withColumn("_day", day_of_fact).drop("_last")
-    right = (
-        versions.join(crowded, on, "left")
-        .withColumn("_v_day", F.explode(days_of_version))
-        .drop("_last")
-        .withColumnsRenamed({k: f"_v_{k}" for k in on})
+    def bucket(c: str) -> Column:
+        return F.least(F.greatest(F.year(c), F.lit(first_year)), F.lit(last_year))
+
+    until = F.when(F.col(end).isNull(), F.lit(last_year)).otherwise(bucket(end))
+    right = versions.withColumn(
+        "_v_year", F.explode(F.sequence(bucket(start), F.greatest(bucket(start), until)))
+    ).withColumnsRenamed({k: f"_v_{k}" for k in on})
+    match = (
+        (F.col("_year") == F.col("_v_year"))
+        & (F.col(at) >= F.col(start))
+        & (F.col(end).isNull() | (F.col(at) < F.col(end)))
     )
-    same_day = match & (F.col("_day") == F.col("_v_day"))
-    return left.join(right, same_day, how).drop("_day", "_v_day", *[f"_v_{k}" for k in on])
+    for k in on:
+        match = match & (F.col(k) == F.col(f"_v_{k}"))
+    left = facts.withColumn("_year", bucket(at))
+    return left.join(right, match, how).drop("_year", "_v_year", *[f"_v_{k}" for k in on])
 
 
 def range_join(

@@ -440,8 +440,8 @@ SELECT {key('id_votacao', 'k')} AS sk_voto_individual, id_votacao AS nk_votacao,
 FROM fvoto""")
 
 _bill_status = case([(like('texto', p), k) for k, p in rules.BILL_STATUS_PATTERNS], "'OUTROS'")
-_signed = f"""au AS (SELECT id, count(*) AS n, count(*) FILTER (prim) AS np, max(k) FILTER (prim) AS pk,
-    max(nome) FILTER (prim) AS pn, max({STATE}[nation + 1]) FILTER (prim) AS pu FROM autor GROUP BY id)"""
+_signed = f"""au AS (SELECT id, count(*) AS n, count(*) FILTER (prim) AS np, min(k) FILTER (prim) AS pk,
+    arg_min(nome, k) FILTER (prim) AS pn, arg_min({STATE}[nation + 1], k) FILTER (prim) AS pu FROM autor GROUP BY id)"""
 SQL["bill_fact"] = sql("bill autor vota", f"""
 WITH {_signed},
   te AS (SELECT l_orderkey AS id, count(*) AS n, string_agg(DISTINCT p_type, ', ' ORDER BY p_type) AS lista

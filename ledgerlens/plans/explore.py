@@ -153,43 +153,55 @@ def bill_types(bills: DataFrame) -> DataFrame:
 
 
 def headline_metrics(vote_facts: DataFrame) -> DataFrame:
-    """Eight headline metrics as (metric, value, description) from one scan.
+    """Eight headline metrics as (metric, value, description).
 
-    The share of approved roll calls counts roll calls, not votes.
+    Votes are first merged per roll call, with map-side sums, and persons to distinct ones, so no
+    vote is multiplied for a distinct count. Approval and bill are attributes of the roll call, and
+    the share of approved roll calls counts roll calls, not votes.
     """
     line, vote = F.col("fidelidade_partidaria"), F.col("tipo_voto")
-    followed = count_where(line == "SEGUIU_ORIENTACAO")
-    judged = count_where(line.isin("SEGUIU_ORIENTACAO", "CONTRARIOU_ORIENTACAO"))
-    yes = count_where(vote == "SIM")
-    sided = count_where(vote.isin("SIM", *NO_VOTES))
-    calls = F.count_distinct("nk_votacao")
-    approved = F.count_distinct(F.when(F.col("flag_votacao_aprovada"), F.col("nk_votacao")))
-    linked = F.when(F.col("flag_tem_proposicao_vinculada"), F.col("nk_proposicao"))
+    per_call = vote_facts.groupBy("nk_votacao").agg(
+        F.count(F.lit(1)).alias("_votes"),
+        count_where(line == "SEGUIU_ORIENTACAO").alias("_followed"),
+        count_where(line.isin("SEGUIU_ORIENTACAO", "CONTRARIOU_ORIENTACAO")).alias("_judged"),
+        count_where(vote == "SIM").alias("_yes"),
+        count_where(vote.isin("SIM", *NO_VOTES)).alias("_sided"),
+        F.max("flag_votacao_aprovada").alias("_approved"),
+        F.max(F.when(F.col("flag_tem_proposicao_vinculada"), F.col("nk_proposicao"))).alias("_bill"),
+        F.min("ano_votacao").alias("_from"),
+        F.max("ano_votacao").alias("_to"),
+    )
+    persons = vote_facts.select("nk_deputado").distinct().agg(F.count("nk_deputado").alias("_n"))
+    per_call = per_call.withColumn("_persons", persons.scalar())
+    calls = F.count("nk_votacao")
+    approved = count_where(F.col("_approved") & F.col("nk_votacao").isNotNull())
 
     def share(num, den, suffix="%"):
         return F.concat(percent(num, den).cast("decimal(12,2)").cast("string"), F.lit(suffix))
 
-    years = F.concat_ws(" - ", F.min("ano_votacao").cast("string"), F.max("ano_votacao").cast("string"))
+    years = F.concat_ws(" - ", F.min("_from").cast("string"), F.max("_to").cast("string"))
     return metric_list(
-        vote_facts,
+        per_call,
         {
             "Período Analisado": (years, "Anos com dados de votação"),
-            "Total de Votos Individuais": (F.count(F.lit(1)), "Votos registrados no sistema"),
+            "Total de Votos Individuais": (
+                F.coalesce(F.sum("_votes"), F.lit(0)), "Votos registrados no sistema"
+            ),
             "Deputados Únicos": (
-                F.count_distinct("nk_deputado"), "Deputados com pelo menos 1 voto registrado"
+                F.coalesce(F.max("_persons"), F.lit(0)), "Deputados com pelo menos 1 voto registrado"
             ),
             "Votações Únicas": (calls, "Votações nominais realizadas"),
             "Proposições Votadas": (
-                F.count_distinct(linked), "Proposições que passaram por votação"
+                F.count_distinct("_bill"), "Proposições que passaram por votação"
             ),
             "Taxa de Fidelidade Partidária": (
-                share(followed, judged), "Percentual de votos que seguiram orientação partidária"
+                share(F.sum("_followed"), F.sum("_judged")), "Percentual de votos que seguiram orientação partidária"
             ),
             "Taxa de Aprovação Média": (
                 share(approved, calls), "Percentual de votações que foram aprovadas"
             ),
             "Votos SIM vs NÃO": (
-                share(yes, sided, "% SIM"), "Proporção de votos favoráveis vs contrários"
+                share(F.sum("_yes"), F.sum("_sided"), "% SIM"), "Proporção de votos favoráveis vs contrários"
             ),
         },
     )

@@ -234,17 +234,27 @@ def bill_fact(
 ) -> DataFrame:
     """Bills with their authors, topics and votes, each side aggregated before it is joined.
 
-    One row per bill; ``per_author`` gives one row per bill and author instead.
+    One row per bill; ``per_author`` gives one row per bill and author instead. Of several
+    proponents the first signatory is shown, with all attributes from that one signature.
     """
     proponent = F.col("eh_proponente")
     grain = ["proposicao_id", "deputado_autor_id"] if per_author else ["proposicao_id"]
     signed = authors.groupBy(*grain).agg(
         F.count(F.lit(1)).alias("total_autores"),
         count_where(proponent).alias("total_proponentes"),
-        pick_where(proponent, "deputado_autor_id").alias("deputado_proponente_id"),
-        pick_where(proponent, "nome_autor").alias("nome_proponente"),
-        pick_where(proponent, "sigla_partido_autor").alias("partido_proponente"),
-        pick_where(proponent, "sigla_uf_autor").alias("uf_proponente"),
+        pick_where(
+            proponent,
+            ["deputado_autor_id", "nome_autor", "sigla_partido_autor", "sigla_uf_autor"],
+            ["ordem_assinatura"],
+        ).alias("_first"),
+    ).select(
+        *grain,
+        "total_autores",
+        "total_proponentes",
+        F.col("_first.deputado_autor_id").alias("deputado_proponente_id"),
+        F.col("_first.nome_autor").alias("nome_proponente"),
+        F.col("_first.sigla_partido_autor").alias("partido_proponente"),
+        F.col("_first.sigla_uf_autor").alias("uf_proponente"),
     )
     author = F.col("deputado_autor_id") if per_author else F.col("deputado_proponente_id")
     labels = topics.groupBy("proposicao_id", "tema").agg(F.count(F.lit(1)).alias("_times"))

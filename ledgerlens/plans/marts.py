@@ -50,9 +50,9 @@ def spend_per_person(
 
     Documents without a valid version keep a placeholder, or are left out with
     ``require_version``. Only the version key travels with the documents; names and other
-    attributes are joined to the finished totals. Amounts are merged per (version, month) and
-    documents per (version, document), so a person with very many documents is spread over tasks
-    and no row is multiplied for the distinct counts.
+    attributes are joined to the finished totals. The documents are read and joined once: lines are
+    merged per (version, document), which spreads a person with very many documents over tasks,
+    and the totals are taken from there. A person's set of months is bounded by the calendar.
     """
     keys = versions.select("nk_deputado", "sk_deputado", "valid_from", "valid_to")
     joined = with_versions(
@@ -67,11 +67,7 @@ def spend_per_person(
     joined = joined.withColumn(
         "sk_deputado", key_or_placeholder("sk_deputado", "nk_deputado", MISSING_PERSON)
     )
-    documents = (
-        joined.select("sk_deputado", "cod_documento").distinct()
-        .groupBy("sk_deputado").agg(F.count(F.lit(1)).alias("total_documentos"))
-    )
-    monthly = joined.groupBy("nk_deputado", "sk_deputado", "ano", "mes").agg(
+    documents = joined.groupBy("nk_deputado", "sk_deputado", "cod_documento").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.sum(amount).alias("_doc"),
         F.sum("valor_liquido").alias("_net"),
@@ -80,11 +76,14 @@ def spend_per_person(
             sum_where(F.col("faixa_valor") == label, amount, 0).alias(name)
             for name, label in bands.items()
         ],
+        F.collect_set(F.struct("ano", "mes")).alias("_months"),
         F.min("data_documento").alias("_first"),
         F.max("data_documento").alias("_last"),
     )
-    totals = monthly.groupBy("nk_deputado", "sk_deputado").agg(
-        F.count(F.lit(1)).alias("total_meses_atividade"),
+    months = F.array_distinct(F.flatten(F.collect_set("_months")))
+    known = documents.groupBy("nk_deputado", "sk_deputado").agg(
+        F.count(F.lit(1)).alias("total_documentos"),
+        F.size(months).cast("bigint").alias("total_meses_atividade"),
         F.sum("_doc").alias("valor_total_gasto"),
         F.sum("_net").alias("valor_total_liquido"),
         F.sum("_cut").alias("valor_total_glosa"),
@@ -96,9 +95,7 @@ def spend_per_person(
         F.max("_last").alias("ultima_despesa"),
     )
     attributes = [c for c in PERSON if c not in ("sk_deputado", "deputado_id")]
-    known = totals.join(documents, "sk_deputado").join(
-        versions.select("sk_deputado", *attributes), "sk_deputado", "left"
-    )
+    known = known.join(versions.select("sk_deputado", *attributes), "sk_deputado", "left")
     na = F.lit("N/A")
     limit = F.lit(quota) * F.col("total_meses_atividade").cast("double")
     use = F.col("percentual_uso_cota_mensal")
@@ -320,7 +317,7 @@ def presence(
         "sk_deputado", F.col("nk_deputado").alias("deputado_id"), "nome_deputado",
         "sigla_partido", "sigla_uf", "condicao_eleitoral",
     ).agg(
-        F.count_distinct("nk_votacao").alias("total_votacoes_participadas"),
+        F.count("nk_votacao").alias("total_votacoes_participadas"),
         F.count(F.lit(1)).alias("total_votos_registrados"),
         *[count_where(p).alias(n) for n, p in counts.items()],
         F.min("data_votacao").alias("primeira_votacao"),

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.functions import dates, rules
 from ledgerlens.functions.keys import id_from_uri
+from ledgerlens.functions.numeric import money
 from ledgerlens.functions.text import filled, standard
 from ledgerlens.operators.joins import not_in
 from ledgerlens.operators.windows import latest
@@ -21,11 +23,14 @@ FROM_MEETINGS = "camara_eventos"
 
 
 def expenses(raw: DataFrame) -> DataFrame:
-    """Distinct documents with key, date and non-negative amounts; texts trimmed."""
+    """Distinct documents with key, date and non-negative exact amounts; texts trimmed."""
     changes = {"cnpj_cpf_fornecedor": F.trim("cnpj_cpf_fornecedor"), "num_documento": F.trim("num_documento")}
     for name in ("nome_fornecedor", "tipo_despesa", "tipo_documento"):
         if name in raw.columns:
             changes[name] = standard(name)
+    for field in raw.schema.fields:
+        if field.name.startswith("valor_") and isinstance(field.dataType, T.DoubleType):
+            changes[field.name] = money(field.name)
     return (
         raw.dropna(subset=["deputado_id", "cod_documento", "data_documento"])
         .where((F.col("valor_documento") >= 0) & (F.col("valor_liquido") >= 0))

@@ -7,185 +7,299 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "long": T.LongType(), "int": T.IntegerType(), "str": T.StringType(), "double": T.DoubleType(),
-    "bool": T.BooleanType(), "date": T.DateType(), "ts": T.TimestampNTZType(),
-}
-_SQL = {
-    "long": "bigint", "int": "int", "str": "string", "double": "double", "bool": "boolean",
-    "date": "date", "ts": "timestamp_ntz",
+# table -> key columns
+KEYS: dict[str, tuple[str, ...]] = {
+    "despesas": ("deputado_id", "cod_documento"),
+    "despesas_incremental": ("deputado_id", "cod_documento"),
+    "deputados": ("id",),
+    "deputados_detalhes": ("id",),
+    "deputado_historico": ("deputado_id", "data_hora"),
+    "proposicoes": ("id",),
+    "proposicoes_autores": ("id_proposicao", "id_deputado_autor"),
+    "proposicoes_temas": ("uri_proposicao", "cod_tema"),
+    "proposicoes_tramitacoes": ("proposicao_id", "sequencia"),
+    "votacoes": ("id",),
+    "votacoes_orientacoes": ("id_votacao", "sigla_bancada"),
+    "votacoes_objetos": ("id_votacao", "proposicao_id"),
+    "votos": ("id_votacao", "deputado_id"),
+    "eventos": ("id",),
+    "licitacoes": ("id_licitacao",),
+    "legislaturas": ("idLegislatura",),
+    "categorias": ("codCategoria", "codSubCategoria"),
+    "votacoes_proposicoes": ("id_votacao", "proposicao_id"),
 }
 
-# table -> (key columns, "name:type" or "name:type=landed.path" per column)
-TABLES: dict[str, tuple[tuple[str, ...], str]] = {
-    "despesas": (
-        ("deputado_id", "cod_documento"),
-        """deputado_id:long=nuDeputadoId ano:int=numAno cnpj_cpf_fornecedor:str=txtCNPJCPF
-        cod_documento:long=ideDocumento cod_lote:long=numLote
-        cod_tipo_documento:long=indTipoDocumento data_documento:ts=datEmissao mes:int=numMes
-        nome_fornecedor:str=txtFornecedor num_documento:str=txtNumero
-        num_ressarcimento:str=numRessarcimento parcela:long=numParcela
-        tipo_despesa:str=txtDescricao tipo_documento:str=indTipoDocumento
-        url_documento:str=url_documento valor_documento:double=vlrDocumento
-        valor_glosa:double=vlrGlosa valor_liquido:double=vlrLiquido num_subcota:int=numSubCota
-        num_especificacao_subcota:int=numEspecificacaoSubCota""",
-    ),
-    "despesas_incremental": (
-        ("deputado_id", "cod_documento"),
-        """ano:int=ano mes:int=mes tipo_despesa:str=tipoDespesa cod_documento:long=codDocumento
-        tipo_documento:str=tipoDocumento cod_tipo_documento:long=codTipoDocumento
-        data_documento:ts=dataDocumento num_documento:str=numDocumento
-        valor_documento:double=valorDocumento url_documento:str=urlDocumento
-        nome_fornecedor:str=nomeFornecedor cnpj_cpf_fornecedor:str=cnpjCpfFornecedor
-        valor_liquido:double=valorLiquido valor_glosa:double=valorGlosa
-        num_ressarcimento:str=numRessarcimento cod_lote:long=codLote parcela:long=parcela
-        deputado_id:long=deputado_id""",
-    ),
-    "deputados": (
-        ("id",),
-        "id:long=id nome:str=nome partido:str=siglaPartido uf:str=siglaUf url_foto:str=urlFoto",
-    ),
-    "deputados_detalhes": (
-        ("id",),
-        """id:long=id cpf:str=cpf nome_civil:str=nomeCivil data_nascimento:date=dataNascimento
-        municipio_nascimento:str=municipioNascimento uf_nascimento:str=ufNascimento sexo:str=sexo
-        redes_sociais:str=redeSocial ultimo_status_data:date=ultimoStatus.data
-        ultimo_status_nome:str=ultimoStatus.nome
-        ultimo_status_nome_eleitoral:str=ultimoStatus.nomeEleitoral
-        ultimo_status_sigla_partido:str=ultimoStatus.siglaPartido
-        ultimo_status_sigla_uf:str=ultimoStatus.siglaUf
-        ultimo_status_id_legislatura:long=ultimoStatus.idLegislatura
-        ultimo_status_condicao_eleitoral:str=ultimoStatus.condicaoEleitoral
-        ultimo_status_situacao:str=ultimoStatus.situacao
-        ultimo_status_url_foto:str=ultimoStatus.urlFoto
-        ultimo_status_email_gabinete:str=ultimoStatus.gabinete.email
-        ultimo_status_telefone_gabinete:str=ultimoStatus.gabinete.telefone
-        ultimo_status_nome_gabinete:str=ultimoStatus.gabinete.nome uri:str=uri""",
-    ),
-    "deputado_historico": (
-        ("deputado_id", "data_hora"),
-        """id:long=id deputado_id:str=deputado_id nome:str=nome nome_eleitoral:str=nomeEleitoral
-        sigla_partido:str=siglaPartido sigla_uf:str=siglaUf id_legislatura:long=idLegislatura
-        situacao:str=situacao condicao_eleitoral:str=condicaoEleitoral
-        descricao_status:str=descricaoStatus data_hora:ts=dataHora uri:str=uri
-        uri_partido:str=uriPartido url_foto:str=urlFoto""",
-    ),
-    "proposicoes": (
-        ("id",),
-        """id:long=id sigla_tipo:str=siglaTipo numero:long=numero ano:int=ano
-        descricao_tipo:str=descricaoTipo ementa:str=ementa ementa_detalhada:str=ementaDetalhada
-        keywords:str=keywords data_apresentacao:ts=dataApresentacao
-        status_ambito:str=statusProposicao.ambito
-        status_apreciacao:str=statusProposicao.apreciacao
-        status_cod_situacao:long=statusProposicao.codSituacao
-        status_cod_tipo_tramitacao:str=statusProposicao.codTipoTramitacao
-        status_data_hora:ts=statusProposicao.dataHora
-        status_descricao_situacao:str=statusProposicao.descricaoSituacao
-        status_descricao_tramitacao:str=statusProposicao.descricaoTramitacao
-        status_despacho:str=statusProposicao.despacho status_regime:str=statusProposicao.regime
-        status_sigla_orgao:str=statusProposicao.siglaOrgao
-        status_uri_orgao:str=statusProposicao.uriOrgao
-        status_uri_ultimo_relator:str=statusProposicao.uriUltimoRelator uri:str=uri
-        uri_autores:str=uriAutores uri_orgao_numerador:str=uriOrgaoNumerador
-        url_inteiro_teor:str=urlInteiroTeor""",
-    ),
-    "proposicoes_autores": (
-        ("id_proposicao", "id_deputado_autor"),
-        """id_proposicao:long=idProposicao id_deputado_autor:long=idDeputadoAutor
-        nome_autor:str=nomeAutor tipo_autor:str=tipoAutor sigla_partido_autor:str=siglaPartidoAutor
-        sigla_uf_autor:str=siglaUFAutor cod_tipo_autor:long=codTipoAutor proponente:bool=proponente
-        ordem_assinatura:long=ordemAssinatura uri_autor:str=uriAutor
-        uri_partido_autor:str=uriPartidoAutor uri_proposicao:str=uriProposicao""",
-    ),
-    "proposicoes_temas": (
-        ("uri_proposicao", "cod_tema"),
-        """sigla_tipo:str=siglaTipo numero:long=numero ano:int=ano cod_tema:long=codTema
-        tema:str=tema relevancia:long=relevancia uri_proposicao:str=uriProposicao""",
-    ),
-    "proposicoes_tramitacoes": (
-        ("proposicao_id", "sequencia"),
-        """proposicao_id:long=proposicao_id sequencia:long=sequencia ambito:str=ambito
-        apreciacao:str=apreciacao cod_tipo_tramitacao:str=codTipoTramitacao data_hora:ts=dataHora
-        descricao_tramitacao:str=descricaoTramitacao despacho:str=despacho regime:str=regime
-        sigla_orgao:str=siglaOrgao uri_orgao:str=uriOrgao url:str=url""",
-    ),
-    "votacoes": (
-        ("id",),
-        """id:str=id data:date=data descricao:str=descricao aprovacao:long=aprovacao
-        id_evento:long=idEvento id_orgao:long=idOrgao sigla_orgao:str=siglaOrgao
-        ultima_apresentacao_proposicao_descricao:str=ultimaApresentacaoProposicao_descricao
-        ultima_apresentacao_proposicao_id:long=ultimaApresentacaoProposicao_idProposicao
-        uri:str=uri uri_evento:str=uriEvento uri_orgao:str=uriOrgao votos_sim:long=votosSim
-        votos_nao:long=votosNao votos_outros:long=votosOutros""",
-    ),
-    "votacoes_orientacoes": (
-        ("id_votacao", "sigla_bancada"),
-        """id_votacao:str=idVotacao descricao:str=descricao orientacao:str=orientacao
-        sigla_bancada:str=siglaBancada sigla_orgao:str=siglaOrgao uri_bancada:str=uriBancada
-        uri_votacao:str=uriVotacao""",
-    ),
-    "votacoes_objetos": (
-        ("id_votacao", "proposicao_id"),
-        """id_votacao:str=idVotacao data:date=data descricao:str=descricao
-        proposicao_id:long=proposicao_id proposicao_sigla_tipo:str=proposicao_siglaTipo
-        proposicao_numero:long=proposicao_numero proposicao_ano:int=proposicao_ano
-        proposicao_cod_tipo:long=proposicao_codTipo proposicao_titulo:str=proposicao_titulo
-        proposicao_ementa:str=proposicao_ementa proposicao_uri:str=proposicao_uri
-        uri_votacao:str=uriVotacao""",
-    ),
-    "votos": (
-        ("id_votacao", "deputado_id"),
-        """id_votacao:str=id_votacao deputado_id:long=deputado_id tipo_voto:str=tipoVoto
-        data_registro_voto:ts=dataRegistroVoto""",
-    ),
-    "eventos": (
-        ("id",),
-        """id:long=id descricao:str=descricao descricao_tipo:str=descricaoTipo
-        data_hora_inicio:ts=dataHoraInicio data_hora_fim:ts=dataHoraFim
-        local_camara_nome:str=localCamara_nome local_externo:str=localExterno
-        situacao:str=situacao uri:str=uri url_documento_pauta:str=urlDocumentoPauta""",
-    ),
-    "licitacoes": (
-        ("id_licitacao",),
-        """id_licitacao:long=idLicitacao ano:int=ano ano_processo:int=anoProcesso
-        numero:long=numero num_processo:long=numProcesso data_autorizacao:date=dataAutorizacao
-        data_publicacao:date=dataPublicacao modalidade:str=modalidade tipo:str=tipo
-        situacao:str=situacao objeto:str=objeto num_contratos:long=numContratos
-        num_itens:long=numItens num_propostas:long=numPropostas num_unidades:long=numUnidades
-        vlr_estimado:double=vlrEstimado vlr_contratado:double=vlrContratado
-        vlr_pago:double=vlrPago""",
-    ),
-    "legislaturas": (
-        ("idLegislatura",),
-        "idLegislatura:int uri:str dataInicio:date dataFim:date anoEleicao:int",
-    ),
-    "categorias": (
-        ("codCategoria", "codSubCategoria"),
-        "codCategoria:int categoria:str codSubCategoria:int subCategoria:str",
-    ),
-}
-# The two object tables of a roll call share one layout.
-TABLES["votacoes_proposicoes"] = TABLES["votacoes_objetos"]
+# Both object tables of a roll call share one layout.
+_ROLL_CALL_OBJECT = [
+    ("id_votacao", "string", "idVotacao"),
+    ("data", "date", "data"),
+    ("descricao", "string", "descricao"),
+    ("proposicao_id", "bigint", "proposicao_id"),
+    ("proposicao_sigla_tipo", "string", "proposicao_siglaTipo"),
+    ("proposicao_numero", "bigint", "proposicao_numero"),
+    ("proposicao_ano", "int", "proposicao_ano"),
+    ("proposicao_cod_tipo", "bigint", "proposicao_codTipo"),
+    ("proposicao_titulo", "string", "proposicao_titulo"),
+    ("proposicao_ementa", "string", "proposicao_ementa"),
+    ("proposicao_uri", "string", "proposicao_uri"),
+    ("uri_votacao", "string", "uriVotacao"),
+]
 
+# table -> (column, SQL type, path in the landed form) per column
+TABLES: dict[str, list[tuple[str, str, str]]] = {
+    "despesas": [
+        ("deputado_id", "bigint", "nuDeputadoId"),
+        ("ano", "int", "numAno"),
+        ("cnpj_cpf_fornecedor", "string", "txtCNPJCPF"),
+        ("cod_documento", "bigint", "ideDocumento"),
+        ("cod_lote", "bigint", "numLote"),
+        ("cod_tipo_documento", "bigint", "indTipoDocumento"),
+        ("data_documento", "timestamp_ntz", "datEmissao"),
+        ("mes", "int", "numMes"),
+        ("nome_fornecedor", "string", "txtFornecedor"),
+        ("num_documento", "string", "txtNumero"),
+        ("num_ressarcimento", "string", "numRessarcimento"),
+        ("parcela", "bigint", "numParcela"),
+        ("tipo_despesa", "string", "txtDescricao"),
+        ("tipo_documento", "string", "indTipoDocumento"),
+        ("url_documento", "string", "url_documento"),
+        ("valor_documento", "double", "vlrDocumento"),
+        ("valor_glosa", "double", "vlrGlosa"),
+        ("valor_liquido", "double", "vlrLiquido"),
+        ("num_subcota", "int", "numSubCota"),
+        ("num_especificacao_subcota", "int", "numEspecificacaoSubCota"),
+    ],
+    "despesas_incremental": [
+        ("ano", "int", "ano"),
+        ("mes", "int", "mes"),
+        ("tipo_despesa", "string", "tipoDespesa"),
+        ("cod_documento", "bigint", "codDocumento"),
+        ("tipo_documento", "string", "tipoDocumento"),
+        ("cod_tipo_documento", "bigint", "codTipoDocumento"),
+        ("data_documento", "timestamp_ntz", "dataDocumento"),
+        ("num_documento", "string", "numDocumento"),
+        ("valor_documento", "double", "valorDocumento"),
+        ("url_documento", "string", "urlDocumento"),
+        ("nome_fornecedor", "string", "nomeFornecedor"),
+        ("cnpj_cpf_fornecedor", "string", "cnpjCpfFornecedor"),
+        ("valor_liquido", "double", "valorLiquido"),
+        ("valor_glosa", "double", "valorGlosa"),
+        ("num_ressarcimento", "string", "numRessarcimento"),
+        ("cod_lote", "bigint", "codLote"),
+        ("parcela", "bigint", "parcela"),
+        ("deputado_id", "bigint", "deputado_id"),
+    ],
+    "deputados": [
+        ("id", "bigint", "id"),
+        ("nome", "string", "nome"),
+        ("partido", "string", "siglaPartido"),
+        ("uf", "string", "siglaUf"),
+        ("url_foto", "string", "urlFoto"),
+    ],
+    "deputados_detalhes": [
+        ("id", "bigint", "id"),
+        ("cpf", "string", "cpf"),
+        ("nome_civil", "string", "nomeCivil"),
+        ("data_nascimento", "date", "dataNascimento"),
+        ("municipio_nascimento", "string", "municipioNascimento"),
+        ("uf_nascimento", "string", "ufNascimento"),
+        ("sexo", "string", "sexo"),
+        ("redes_sociais", "string", "redeSocial"),
+        ("ultimo_status_data", "date", "ultimoStatus.data"),
+        ("ultimo_status_nome", "string", "ultimoStatus.nome"),
+        ("ultimo_status_nome_eleitoral", "string", "ultimoStatus.nomeEleitoral"),
+        ("ultimo_status_sigla_partido", "string", "ultimoStatus.siglaPartido"),
+        ("ultimo_status_sigla_uf", "string", "ultimoStatus.siglaUf"),
+        ("ultimo_status_id_legislatura", "bigint", "ultimoStatus.idLegislatura"),
+        ("ultimo_status_condicao_eleitoral", "string", "ultimoStatus.condicaoEleitoral"),
+        ("ultimo_status_situacao", "string", "ultimoStatus.situacao"),
+        ("ultimo_status_url_foto", "string", "ultimoStatus.urlFoto"),
+        ("ultimo_status_email_gabinete", "string", "ultimoStatus.gabinete.email"),
+        ("ultimo_status_telefone_gabinete", "string", "ultimoStatus.gabinete.telefone"),
+        ("ultimo_status_nome_gabinete", "string", "ultimoStatus.gabinete.nome"),
+        ("uri", "string", "uri"),
+    ],
+    "deputado_historico": [
+        ("id", "bigint", "id"),
+        ("deputado_id", "string", "deputado_id"),
+        ("nome", "string", "nome"),
+        ("nome_eleitoral", "string", "nomeEleitoral"),
+        ("sigla_partido", "string", "siglaPartido"),
+        ("sigla_uf", "string", "siglaUf"),
+        ("id_legislatura", "bigint", "idLegislatura"),
+        ("situacao", "string", "situacao"),
+        ("condicao_eleitoral", "string", "condicaoEleitoral"),
+        ("descricao_status", "string", "descricaoStatus"),
+        ("data_hora", "timestamp_ntz", "dataHora"),
+        ("uri", "string", "uri"),
+        ("uri_partido", "string", "uriPartido"),
+        ("url_foto", "string", "urlFoto"),
+    ],
+    "proposicoes": [
+        ("id", "bigint", "id"),
+        ("sigla_tipo", "string", "siglaTipo"),
+        ("numero", "bigint", "numero"),
+        ("ano", "int", "ano"),
+        ("descricao_tipo", "string", "descricaoTipo"),
+        ("ementa", "string", "ementa"),
+        ("ementa_detalhada", "string", "ementaDetalhada"),
+        ("keywords", "string", "keywords"),
+        ("data_apresentacao", "timestamp_ntz", "dataApresentacao"),
+        ("status_ambito", "string", "statusProposicao.ambito"),
+        ("status_apreciacao", "string", "statusProposicao.apreciacao"),
+        ("status_cod_situacao", "bigint", "statusProposicao.codSituacao"),
+        ("status_cod_tipo_tramitacao", "string", "statusProposicao.codTipoTramitacao"),
+        ("status_data_hora", "timestamp_ntz", "statusProposicao.dataHora"),
+        ("status_descricao_situacao", "string", "statusProposicao.descricaoSituacao"),
+        ("status_descricao_tramitacao", "string", "statusProposicao.descricaoTramitacao"),
+        ("status_despacho", "string", "statusProposicao.despacho"),
+        ("status_regime", "string", "statusProposicao.regime"),
+        ("status_sigla_orgao", "string", "statusProposicao.siglaOrgao"),
+        ("status_uri_orgao", "string", "statusProposicao.uriOrgao"),
+        ("status_uri_ultimo_relator", "string", "statusProposicao.uriUltimoRelator"),
+        ("uri", "string", "uri"),
+        ("uri_autores", "string", "uriAutores"),
+        ("uri_orgao_numerador", "string", "uriOrgaoNumerador"),
+        ("url_inteiro_teor", "string", "urlInteiroTeor"),
+    ],
+    "proposicoes_autores": [
+        ("id_proposicao", "bigint", "idProposicao"),
+        ("id_deputado_autor", "bigint", "idDeputadoAutor"),
+        ("nome_autor", "string", "nomeAutor"),
+        ("tipo_autor", "string", "tipoAutor"),
+        ("sigla_partido_autor", "string", "siglaPartidoAutor"),
+        ("sigla_uf_autor", "string", "siglaUFAutor"),
+        ("cod_tipo_autor", "bigint", "codTipoAutor"),
+        ("proponente", "boolean", "proponente"),
+        ("ordem_assinatura", "bigint", "ordemAssinatura"),
+        ("uri_autor", "string", "uriAutor"),
+        ("uri_partido_autor", "string", "uriPartidoAutor"),
+        ("uri_proposicao", "string", "uriProposicao"),
+    ],
+    "proposicoes_temas": [
+        ("sigla_tipo", "string", "siglaTipo"),
+        ("numero", "bigint", "numero"),
+        ("ano", "int", "ano"),
+        ("cod_tema", "bigint", "codTema"),
+        ("tema", "string", "tema"),
+        ("relevancia", "bigint", "relevancia"),
+        ("uri_proposicao", "string", "uriProposicao"),
+    ],
+    "proposicoes_tramitacoes": [
+        ("proposicao_id", "bigint", "proposicao_id"),
+        ("sequencia", "bigint", "sequencia"),
+        ("ambito", "string", "ambito"),
+        ("apreciacao", "string", "apreciacao"),
+        ("cod_tipo_tramitacao", "string", "codTipoTramitacao"),
+        ("data_hora", "timestamp_ntz", "dataHora"),
+        ("descricao_tramitacao", "string", "descricaoTramitacao"),
+        ("despacho", "string", "despacho"),
+        ("regime", "string", "regime"),
+        ("sigla_orgao", "string", "siglaOrgao"),
+        ("uri_orgao", "string", "uriOrgao"),
+        ("url", "string", "url"),
+    ],
+    "votacoes": [
+        ("id", "string", "id"),
+        ("data", "date", "data"),
+        ("descricao", "string", "descricao"),
+        ("aprovacao", "bigint", "aprovacao"),
+        ("id_evento", "bigint", "idEvento"),
+        ("id_orgao", "bigint", "idOrgao"),
+        ("sigla_orgao", "string", "siglaOrgao"),
+        ("ultima_apresentacao_proposicao_descricao", "string", "ultimaApresentacaoProposicao_descricao"),
+        ("ultima_apresentacao_proposicao_id", "bigint", "ultimaApresentacaoProposicao_idProposicao"),
+        ("uri", "string", "uri"),
+        ("uri_evento", "string", "uriEvento"),
+        ("uri_orgao", "string", "uriOrgao"),
+        ("votos_sim", "bigint", "votosSim"),
+        ("votos_nao", "bigint", "votosNao"),
+        ("votos_outros", "bigint", "votosOutros"),
+    ],
+    "votacoes_orientacoes": [
+        ("id_votacao", "string", "idVotacao"),
+        ("descricao", "string", "descricao"),
+        ("orientacao", "string", "orientacao"),
+        ("sigla_bancada", "string", "siglaBancada"),
+        ("sigla_orgao", "string", "siglaOrgao"),
+        ("uri_bancada", "string", "uriBancada"),
+        ("uri_votacao", "string", "uriVotacao"),
+    ],
+    "votacoes_objetos": _ROLL_CALL_OBJECT,
+    "votos": [
+        ("id_votacao", "string", "id_votacao"),
+        ("deputado_id", "bigint", "deputado_id"),
+        ("tipo_voto", "string", "tipoVoto"),
+        ("data_registro_voto", "timestamp_ntz", "dataRegistroVoto"),
+    ],
+    "eventos": [
+        ("id", "bigint", "id"),
+        ("descricao", "string", "descricao"),
+        ("descricao_tipo", "string", "descricaoTipo"),
+        ("data_hora_inicio", "timestamp_ntz", "dataHoraInicio"),
+        ("data_hora_fim", "timestamp_ntz", "dataHoraFim"),
+        ("local_camara_nome", "string", "localCamara_nome"),
+        ("local_externo", "string", "localExterno"),
+        ("situacao", "string", "situacao"),
+        ("uri", "string", "uri"),
+        ("url_documento_pauta", "string", "urlDocumentoPauta"),
+    ],
+    "licitacoes": [
+        ("id_licitacao", "bigint", "idLicitacao"),
+        ("ano", "int", "ano"),
+        ("ano_processo", "int", "anoProcesso"),
+        ("numero", "bigint", "numero"),
+        ("num_processo", "bigint", "numProcesso"),
+        ("data_autorizacao", "date", "dataAutorizacao"),
+        ("data_publicacao", "date", "dataPublicacao"),
+        ("modalidade", "string", "modalidade"),
+        ("tipo", "string", "tipo"),
+        ("situacao", "string", "situacao"),
+        ("objeto", "string", "objeto"),
+        ("num_contratos", "bigint", "numContratos"),
+        ("num_itens", "bigint", "numItens"),
+        ("num_propostas", "bigint", "numPropostas"),
+        ("num_unidades", "bigint", "numUnidades"),
+        ("vlr_estimado", "double", "vlrEstimado"),
+        ("vlr_contratado", "double", "vlrContratado"),
+        ("vlr_pago", "double", "vlrPago"),
+    ],
+    "legislaturas": [
+        ("idLegislatura", "int", "idLegislatura"),
+        ("uri", "string", "uri"),
+        ("dataInicio", "date", "dataInicio"),
+        ("dataFim", "date", "dataFim"),
+        ("anoEleicao", "int", "anoEleicao"),
+    ],
+    "categorias": [
+        ("codCategoria", "int", "codCategoria"),
+        ("categoria", "string", "categoria"),
+        ("codSubCategoria", "int", "codSubCategoria"),
+        ("subCategoria", "string", "subCategoria"),
+    ],
+    "votacoes_proposicoes": _ROLL_CALL_OBJECT,
+}
 
-def _columns(table: str) -> list[tuple[str, str, str]]:
-    out = []
-    for item in TABLES[table][1].split():
-        name, _, rest = item.partition(":")
-        kind, _, path = rest.partition("=")
-        out.append((name, kind, path or name))
-    return out
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
 
 
 def keys(table: str) -> tuple[str, ...]:
-    return TABLES[table][0]
+    return KEYS[table]
 
 
 def schema(table: str) -> T.StructType:
     """Typed schema of a raw table."""
-    return T.StructType([T.StructField(n, _TYPES[k]) for n, k, _ in _columns(table)])
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind, _ in TABLES[table]])
 
 
 def projection(table: str) -> dict[str, tuple[str, str]]:
     """Column name to (landed path, SQL type)."""
-    return {n: (path, _SQL[k]) for n, k, path in _columns(table)}
+    return {name: (path, kind) for name, kind, path in TABLES[table]}

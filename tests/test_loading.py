@@ -1,5 +1,6 @@
 import json
 import os
+import shutil
 from datetime import date
 
 import pytest
@@ -40,6 +41,50 @@ def test_upsert_repairs_a_half_finished_run(spark, tmp_path):
     assert table(spark, path) == [(1, 2024, 2, 11), (2, 2024, 1, 5)]
 
 
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("moment", ["before the rows", "old folders gone", "folders replaced"])
+def test_upsert_loses_nothing_in_a_crash(spark, tmp_path, monkeypatch, moment):
+    path = str(tmp_path / "t")
+    upsert.upsert(spark, path, spark.createDataFrame([(1, 2024, 1, 10), (2, 2024, 1, 20), (3, 2024, 2, 30)], ROW), ["k"])
+    batch = spark.createDataFrame([(1, 2024, 1, 11), (3, 2024, 1, 31)], ROW)
+    real = upsert.replace_periods
+
+    def crash(rows, where, names):
+        if moment == "before the rows":
+            os.remove(f"{where}/_pending/rows/_SUCCESS")
+        elif moment == "old folders gone":
+            shutil.rmtree(f"{where}/ano=2024/mes=1")
+        else:
+            real(rows, where, names)
+        raise Crash
+
+    monkeypatch.setattr(upsert, "replace_periods", crash)
+    with pytest.raises(Crash):
+        upsert.upsert(spark, path, batch, ["k"])
+    monkeypatch.setattr(upsert, "replace_periods", real)
+    upsert.recover(spark, path, batch.schema)
+    old = [(1, 2024, 1, 10), (2, 2024, 1, 20), (3, 2024, 2, 30)]
+    new = [(1, 2024, 1, 11), (2, 2024, 1, 20), (3, 2024, 1, 31)]
+    assert table(spark, path) == (old if moment == "before the rows" else new)
+    upsert.upsert(spark, path, batch, ["k"])
+    assert table(spark, path) == new
+    assert sorted(n for n in os.listdir(path) if n[0] not in "_.") == ["ano=2024"]
+    assert os.listdir(f"{path}/ano=2024") == ["mes=1"]
+
+
+def test_ties_in_a_batch_are_broken_by_the_whole_row(spark):
+    rows = [(1, 2024, m, v) for m in (1, 2, 3) for v in range(20)]
+    empty = spark.createDataFrame([], ROW)
+    got = {
+        tuple(upsert.merge_rows(empty, spark.createDataFrame(r, ROW).repartition(5), ["k"]).first())
+        for r in (rows, rows[::-1])
+    }
+    assert len(got) == 1
+
+
 def test_sequence_makes_the_order_of_batches_irrelevant(spark):
     a = spark.createDataFrame([(1, 2024, 1, 10), (2, 2024, 1, 7)], ROW)
     b = spark.createDataFrame([(1, 2024, 2, 9), (3, 2024, 2, 1)], ROW)

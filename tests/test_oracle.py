@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ledgerlens.oracle import oracle_queries
+from ledgerlens.registry import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -22,7 +24,7 @@ SPREAD = (
 TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no benchmark tables here")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = oracle_queries()
 
 
 @pytest.fixture(scope="module")
