@@ -931,7 +931,7 @@ SQL["month_year_pivot"] = sql("exp", f"""
 SELECT ano, {", ".join(f"{dbl(f'coalesce(sum(net) FILTER (mes = {m}), 0)')} AS mes_{m:02d}" for m in range(1, 13))}
 FROM exp GROUP BY ano""")
 
-_cases = f"""y AS (SELECT deputado_id, ano, sum(net) AS s, count(DISTINCT mes) AS m FROM exp GROUP BY ALL HAVING count(DISTINCT mes) >= 6),
+_cases = f"""y AS (SELECT deputado_id, ano, sum(net) AS s, count(DISTINCT mes) AS m FROM exp GROUP BY ALL HAVING count(DISTINCT mes) >= 2),
  z AS (SELECT *, lag(ano) OVER w AS a0, lag(s) OVER w AS s0 FROM y WINDOW w AS (PARTITION BY deputado_id ORDER BY ano)),
  g AS (SELECT *, CAST({_grow('s', 's0')} AS DECIMAL(28,8)) AS g, {_grow('s', 's0')} AS gd FROM z WHERE ano - a0 = 1)"""
 SQL["consecutive_growth"] = sql("exp", f"""
@@ -1016,13 +1016,23 @@ FROM p JOIN y ON y.ano = p.ano""")
 _outliers = f"""p AS (SELECT ano, deputado_id, partido, uf, sum(net) AS s, count(*) AS n FROM exp GROUP BY ALL),
  st AS (SELECT ano, {_mean('s')} AS m, median({dbl('s')}) AS md, stddev_samp({dbl('s')}) AS sd FROM p GROUP BY ano),
  r AS (SELECT *, row_number() OVER (PARTITION BY ano ORDER BY s DESC, deputado_id) AS rn FROM p)"""
-SQL["yearly_outliers"] = sql("exp", f"""
-WITH {_outliers}
+_yearly = f"""
 SELECT r.ano, rn AS ranking, deputado_id, partido AS sigla_partido, uf AS sigla_uf, {dbl('s')} AS gasto_total,
   n AS qtd_despesas, {rnd('m')} AS media_ano, {rnd('md')} AS mediana_ano, {rnd('sd')} AS desvio_ano,
   {rnd(ratio('s', 'm'), 4)} AS multiplo_media,
   {rnd(f"coalesce({ratio(f'({dbl(chr(115))} - m)', 'sd')}, 0)", 4)} AS desvios_padrao
-FROM r JOIN st ON st.ano = r.ano WHERE rn <= 5""")
+FROM r JOIN st ON st.ano = r.ano WHERE rn <= 5"""
+SQL["yearly_outliers"] = sql("exp", f"WITH {_outliers} {_yearly}")
+SQL["outlier_biggest"] = sql("exp", f"""
+WITH {_outliers}, t AS ({_yearly})
+SELECT * FROM t ORDER BY multiplo_media DESC, ano, ranking LIMIT 1""")
+SQL["outlier_states"] = sql("exp", f"""
+WITH {_outliers}
+SELECT uf AS sigla_uf, count(*) AS quantidade FROM r WHERE rn <= 5 GROUP BY uf""")
+SQL["outlier_recurrent"] = sql("exp", f"""
+WITH {_outliers}
+SELECT deputado_id, count(*) AS quantidade FROM r WHERE rn <= 5 GROUP BY deputado_id HAVING count(*) > 1""")
+SQL["filter_values"] = sql("exp", "SELECT DISTINCT uf AS sigla_uf, partido AS sigla_partido FROM exp")
 SQL["outlier_parties"] = sql("exp", f"""
 WITH {_outliers}
 SELECT partido AS sigla_partido, count(*) AS quantidade FROM r WHERE rn <= 5 GROUP BY partido""")
@@ -1150,6 +1160,30 @@ SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d') AS dia FROM events
 SQL["dq_unique"] = """
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS ocorrencias FROM lineitem
 GROUP BY 1, 2 HAVING count(*) > 1"""
+SQL["dq_duplicate_rows"] = """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, CAST(l_shipdate AS VARCHAR) AS l_shipdate
+FROM lineitem WHERE (l_orderkey, l_linenumber) IN
+  (SELECT (l_orderkey, l_linenumber) FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)"""
+SQL["full_refresh_audit"] = sql("docs", """
+SELECT ano, CAST(mes AS BIGINT) AS mes, count(*) FILTER (mes <= 6) AS antes, count(*) AS depois,
+  count(*) FILTER (mes > 6) AS diferenca FROM docs GROUP BY ano, mes""")
+SQL["sliding_reload"] = sql("docs", """
+SELECT ano, CAST(mes AS BIGINT) AS mes, count(*) AS linhas FROM docs
+WHERE l_returnflag <> 'R' OR (ano = 2019 AND mes = 1) OR (ano = 2018 AND mes = 12) GROUP BY ano, mes""")
+SQL["months_to_load"] = sql("docs", """
+SELECT y AS ano, m AS mes FROM range(2016, 2021) a(y), range(1, 13) b(m)
+WHERE NOT EXISTS (SELECT 1 FROM docs WHERE ano = y AND mes = m AND mes <= 6)""")
+SQL["rows_since_newest_year"] = sql("docs", """
+SELECT ano, count(*) AS linhas FROM docs WHERE ano >= (SELECT max(ano) FROM docs WHERE ano <= 2019) GROUP BY ano""")
+SQL["delimited_landing"] = """
+SELECT DISTINCT l_returnflag AS linha_estado, CAST(l_linenumber AS BIGINT) AS linha_numero, l_partkey AS peca FROM lineitem"""
+SQL["malformed_lines"] = """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS linha FROM lineitem WHERE l_linenumber <> 3"""
+SQL["sorted_listing"] = sql("exp", f"SELECT ano, uf AS sigla_uf, cod_documento, {dbl('net')} AS valor_liquido FROM exp")
+SQL["json_documents"] = "SELECT o_orderkey AS id, o_orderstatus AS situacao FROM orders"
+SQL["coerced_rows"] = f"""
+SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN event_id END AS numero, 'eventos' AS fonte_dado,
+  {q(AS_OF)} AS data_carga, CAST(57 AS BIGINT) AS legislatura FROM events"""
 SQL["dq_not_null"] = """
 WITH c AS (SELECT count(*) AS n, count(*) FILTER (l_returnflag <> 'R') AS r, count(*) FILTER (l_returnflag = 'A') AS u
   FROM lineitem)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from ledgerlens.operators import aggregates, history, joins, quality, rows, upse
 from ledgerlens.operators.lineage import materialize, new_path
 from ledgerlens.operators.ordered import group_median
 from ledgerlens.plans import analyses, dimensions, explore, facts, marts, person, staging
-from ledgerlens.sources import readers, writers
+from ledgerlens.sources import periods, readers, writers
 from ledgerlens.streaming import merge as streams
 
 AS_OF = "2025-12-31"
@@ -573,8 +574,8 @@ _analysis("pareto_top10pct", analyses.spend_concentration)
 _analysis("lorenz_curve", analyses.lorenz_curve)
 _analysis("seasonality_q4_q1", analyses.fourth_against_first_quarter)
 _analysis("month_year_pivot", analyses.month_table)
-_analysis("consecutive_growth", analyses.consecutive_growth)
-_analysis("strongest_growth", analyses.strongest_growth)
+_analysis("consecutive_growth", lambda e: analyses.consecutive_growth(e, at_least_months=2))
+_analysis("strongest_growth", lambda e: analyses.strongest_growth(e, at_least_months=2))
 _analysis("bench_bins", lambda e: analyses.bench_size_bins(e, (270, 300)), person=True)
 _analysis("corr_bench_spend", lambda e: _rounded_trend(analyses.bench_size_trend(e)), person=True)
 _analysis("supplier_concentration", analyses.supplier_concentration, person=True)
@@ -623,6 +624,30 @@ def outlier_parties(spark: SparkSession, d: str) -> DataFrame:
     return analyses.outlier_summary(top)["partidos"]
 
 
+@query
+def outlier_states(spark: SparkSession, d: str) -> DataFrame:
+    top = analyses.yearly_outliers(a.expenses(spark, d, person=True))
+    return analyses.outlier_summary(top)["ufs"]
+
+
+@query
+def outlier_recurrent(spark: SparkSession, d: str) -> DataFrame:
+    top = analyses.yearly_outliers(a.expenses(spark, d, person=True))
+    return analyses.outlier_summary(top)["recorrentes"]
+
+
+@query
+def outlier_biggest(spark: SparkSession, d: str) -> DataFrame:
+    top = analyses.yearly_outliers(a.expenses(spark, d, person=True))
+    return analyses.outlier_summary(top)["maior"]
+
+
+@query
+def filter_values(spark: SparkSession, d: str) -> DataFrame:
+    """Values that a filter by state and party offers."""
+    return rows.distinct_values(a.expenses(spark, d, person=True), "sigla_uf", "sigla_partido")
+
+
 @query
 def median_by_state(spark: SparkSession, d: str) -> DataFrame:
     """Exact median document per state."""
@@ -706,6 +731,98 @@ def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(events.schema).parquet(path).select("user_id", "event_type", "dia")
 
 
+@query
+def full_refresh_audit(spark: SparkSession, d: str) -> DataFrame:
+    """A table of half years refreshed with whole years: rows per period before and after."""
+    path = new_path(spark, "refresh")
+    docs = a.expenses(spark, d).select("cod_documento", "ano", "mes")
+    writers.overwrite(docs.where(F.col("mes") <= 6), path, ["ano", "mes"])
+    before = materialize(spark.read.schema(docs.schema).parquet(path), "before")
+    writers.overwrite(docs, path, ["ano", "mes"])
+    return writers.compare_periods(before, spark.read.schema(docs.schema).parquet(path))
+
+
+@query
+def sliding_reload(spark: SparkSession, d: str) -> DataFrame:
+    """A table without refunded documents whose current and previous month are loaded in full."""
+    path = new_path(spark, "sliding")
+    docs = a.expenses(spark, d).select("cod_documento", "num_ressarcimento", "ano", "mes")
+    writers.overwrite(docs.where(F.col("num_ressarcimento").isNull()), path, ["ano", "mes"])
+    months = periods.current_and_previous(date(2019, 1, 15))
+    writers.replace_periods(periods.in_periods(docs, months), path)
+    return writers.rows_per_period(spark.read.schema(docs.schema).parquet(path))
+
+
+@query
+def months_to_load(spark: SparkSession, d: str) -> DataFrame:
+    """Months of the work list that a table of half years does not hold."""
+    held = a.expenses(spark, d).where(F.col("mes") <= 6)
+    wanted = periods.work_list(date(2020, 12, 31), full=True, first=2016)
+    return periods.missing_periods(spark, wanted, held)
+
+
+@query
+def rows_since_newest_year(spark: SparkSession, d: str) -> DataFrame:
+    """Documents from the newest year of a table onwards, counted per year."""
+    docs = a.expenses(spark, d)
+    fresh = periods.since_last(docs, docs.where(F.col("ano") <= 2019))
+    return fresh.groupBy("ano").agg(F.count(F.lit(1)).alias("linhas"))
+
+
+@query
+def delimited_landing(spark: SparkSession, d: str) -> DataFrame:
+    """Delimited text with repeated rows and dotted names, landed as Parquet."""
+    source = new_path(spark, "delimited")
+    lines = a.table(spark, d, "lineitem").select("l_returnflag", "l_linenumber", "l_partkey")
+    dotted = lines.toDF("linha.estado", "linha.numero", "peca")
+    dotted.write.csv(source, sep=";", header=True)
+    return writers.land_csv(spark, source, new_path(spark, "landed"), dotted.schema)
+
+
+@query
+def malformed_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Delimited text read without the lines whose number is not one."""
+    source = new_path(spark, "delimited")
+    number = F.col("l_linenumber")
+    a.table(spark, d, "lineitem").select(
+        "l_orderkey", F.when(number == 3, F.lit("x")).otherwise(number.cast("string")).alias("linha")
+    ).write.csv(source, sep=";", header=True)
+    wanted = T.StructType.fromDDL("l_orderkey bigint, linha int")
+    return readers.read_delimited(spark, source, wanted)
+
+
+@query
+def sorted_listing(spark: SparkSession, d: str) -> DataFrame:
+    """Documents exported as a listing, largest first, and read again."""
+    target = new_path(spark, "listing")
+    docs = a.expenses(spark, d, person=True).select("ano", "sigla_uf", "cod_documento", "valor_liquido")
+    order = [F.col("ano").desc(), F.col("sigla_uf").asc(), F.col("valor_liquido").desc()]
+    writers.export_csv(docs, target, order, ";")
+    return readers.read_delimited(spark, target, docs.schema)
+
+
+@query
+def json_documents(spark: SparkSession, d: str) -> DataFrame:
+    """JSON documents of many rows each, read row by row."""
+    source = new_path(spark, "json")
+    row = F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("situacao"))
+    orders = a.table(spark, d, "orders").groupBy("o_orderdate").agg(F.collect_list(row).alias("dados"))
+    orders.select("dados").write.json(source)
+    wanted = T.StructType.fromDDL("dados array<struct<id: bigint, situacao: string>>")
+    return readers.read_json_documents(spark, source, wanted, whole_file=False).drop("arquivo")
+
+
+@query
+def coerced_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Text that is no number becomes NULL; source, load time and request stand beside each row."""
+    events = a.table(spark, d, "events")
+    raw = events.select(
+        "event_id", F.when(F.col("event_id") % 3 == 0, F.lit("n/d")).otherwise(F.col("event_id").cast("string")).alias("numero")
+    )
+    typed = rows.stamp(rows.coerce(raw, {"numero": "bigint"}), "eventos", AS_OF)
+    return readers.with_context(typed, legislatura=57)
+
+
 # --- data quality -----------------------------------------------------------------------
 
 
@@ -714,6 +831,12 @@ def dq_unique(spark: SparkSession, d: str) -> DataFrame:
     return quality.duplicates(a.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query
+def dq_duplicate_rows(spark: SparkSession, d: str) -> DataFrame:
+    lines = a.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    return quality.duplicate_rows(lines, ["l_orderkey", "l_linenumber"])
+
+
 @query
 def dq_not_null(spark: SparkSession, d: str) -> DataFrame:
     docs = a.expenses(spark, d)

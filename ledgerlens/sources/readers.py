@@ -25,10 +25,15 @@ def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def read_json_documents(
-    spark: SparkSession, path: str, schema: T.StructType, array: str = "dados"
+    spark: SparkSession, path: str, schema: T.StructType, array: str = "dados",
+    whole_file: bool = True,
 ) -> DataFrame:
-    """One row per element of the array inside each JSON document, with the file path."""
-    documents = spark.read.schema(schema).json(path, multiLine=True)
+    """One row per element of the array inside each JSON document, with the file path.
+
+    A document that spans lines makes its file one task; with one document per line, say
+    ``whole_file=False``, and large files are split.
+    """
+    documents = spark.read.schema(schema).json(path, multiLine=whole_file)
     return documents.select(
         F.col("_metadata.file_path").alias("arquivo"), F.inline(F.col(array))
     )
