@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerlens.functions.columns import as_col
 from ledgerlens.functions.keys import surrogate_key
 from ledgerlens.functions.rules import lookup
 from ledgerlens.operators.history import scd2_build
@@ -65,9 +66,9 @@ def _forward(c: str) -> Column:
     return F.expr(f"{c} + INTERVAL '24' YEAR")
 
 
-def _state(nation: str) -> Column:
+def _state(nation: str | Column) -> Column:
     return F.try_element_at(
-        F.array(*[F.lit(s) for s in STATE_OF_NATION]), F.col(nation).cast("int") + 1
+        F.array(*[F.lit(s) for s in STATE_OF_NATION]), as_col(nation).cast("int") + 1
     )
 
 
@@ -197,6 +198,59 @@ def _deputy_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.join(static, "nk_deputado", "left")
 
 
+def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed profiles: one per person; those in debt have no tax number, some no party or state."""
+    k = F.col("c_custkey")
+    number = k.cast("string")
+    born = F.to_date(F.lit("1950-01-01")) + (k % 15000).cast("int")
+    state = _state(k % 25)
+    return table(spark, sf_dir, "customer").select(
+        k.alias("id"),
+        F.when(F.col("c_acctbal") >= 0, F.lpad(number, 11, "0")).alias("cpf"),
+        F.concat(F.lit(" "), F.lower("c_name")).alias("nome_civil"),
+        born.alias("data_nascimento"),
+        F.lit("belém").alias("municipio_nascimento"),
+        _state("c_nationkey").alias("uf_nascimento"),
+        F.when(k % 3 == 0, F.lit("m")).when(k % 3 == 1, F.lit("f")).alias("sexo"),
+        F.lit(None).cast("string").alias("redes_sociais"),
+        (F.to_date(F.lit("2019-01-01")) + (k % 2400).cast("int")).alias("ultimo_status_data"),
+        F.concat(F.lit("pessoa "), number).alias("ultimo_status_nome"),
+        F.concat(F.lit("urna "), number).alias("ultimo_status_nome_eleitoral"),
+        F.when(k % 13 != 0, F.lower(lookup("c_mktsegment", PARTY_OF_SEGMENT))).alias("ultimo_status_sigla_partido"),
+        F.when(k % 17 != 0, state).alias("ultimo_status_sigla_uf"),
+        F.when(k % 19 != 0, F.lit(50) + k % 8).alias("ultimo_status_id_legislatura"),
+        F.when(k % 10 == 0, F.lit("suplente")).otherwise(F.lit("titular")).alias("ultimo_status_condicao_eleitoral"),
+        F.when(k % 7 != 0, F.lit("exercício")).alias("ultimo_status_situacao"),
+        F.when(k % 4 != 0, F.concat(F.lit("https://f/"), number)).alias("ultimo_status_url_foto"),
+        F.when(k % 5 != 0, F.concat(number, F.lit("@camara"))).alias("ultimo_status_email_gabinete"),
+        F.concat(F.lit("61 "), number).alias("ultimo_status_telefone_gabinete"),
+        F.concat(F.lit("sala "), number).alias("ultimo_status_nome_gabinete"),
+        F.concat(F.lit("https://d/"), number).alias("uri"),
+    )
+
+
+def raw_status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed status messages: one per order, with several a day for some persons."""
+    k = F.col("o_custkey")
+    number = k.cast("string")
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        number.alias("deputado_id"),
+        F.concat(F.lit("pessoa "), number).alias("nome"),
+        F.concat(F.lit("urna "), number).alias("nome_eleitoral"),
+        F.concat(F.lower(lookup("o_orderpriority", PARTY_OF_PRIORITY)), F.lit(" ")).alias("sigla_partido"),
+        _state(k % 25).alias("sigla_uf"),
+        (F.lit(50) + k % 8).alias("id_legislatura"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("licença")).otherwise(F.lit("exercício")).alias("situacao"),
+        F.when(k % 10 == 0, F.lit("suplente")).otherwise(F.lit("titular")).alias("condicao_eleitoral"),
+        F.lit("alteração").alias("descricao_status"),
+        _forward("o_orderdate").alias("data_hora"),
+        F.concat(F.lit("https://d/"), number).alias("uri"),
+        F.lit("https://p").alias("uri_partido"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.lit("https://f")).alias("url_foto"),
+    )
+
+
 def _roll_call_id(ts: str) -> Column:
     return F.date_format(F.date_trunc("hour", F.col(ts)), "yyyyMMddHH")
 

@@ -372,9 +372,77 @@ SELECT c_custkey AS k, c_name FROM customer WHERE NOT EXISTS (
   SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')"""
 
 SQL["union_null_pad"] = """
-WITH f AS (SELECT DISTINCT c_custkey % 100 AS chave, c_mktsegment AS segmento FROM customer WHERE c_acctbal > 0)
-SELECT chave, segmento, CAST(NULL AS VARCHAR) AS nome FROM f
-UNION ALL SELECT s_suppkey, NULL, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT chave FROM f)"""
+SELECT o_custkey AS chave, count(*) AS pedidos, CAST(NULL AS VARCHAR) AS nome FROM orders GROUP BY o_custkey
+UNION ALL SELECT c_custkey, NULL, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"""
+
+CTE["pessoa"] = f"""pessoa AS (SELECT c_custkey AS k, CASE WHEN c_acctbal >= 0 THEN lpad(CAST(c_custkey AS VARCHAR), 11, '0') END AS cpf,
+          upper(c_name) AS civil, DATE '1950-01-01' + CAST(c_custkey % 15000 AS INT) AS nasc,
+          {STATE}[c_nationkey + 1] AS uf_nasc, CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' END AS sexo,
+          DATE '2019-01-01' + CAST(c_custkey % 2400 AS INT) AS em, 'PESSOA ' || c_custkey AS nome, 'URNA ' || c_custkey AS urna,
+          CASE WHEN c_custkey % 13 <> 0 THEN {pick('c_mktsegment', a.PARTY_OF_SEGMENT)} END AS partido,
+          CASE WHEN c_custkey % 17 <> 0 THEN {STATE}[c_custkey % 25 + 1] END AS uf,
+          CASE WHEN c_custkey % 19 <> 0 THEN 50 + c_custkey % 8 END AS leg,
+          CASE WHEN c_custkey % 10 = 0 THEN 'SUPLENTE' ELSE 'TITULAR' END AS condicao,
+          CASE WHEN c_custkey % 7 <> 0 THEN 'EXERCÍCIO' END AS situacao,
+          CASE WHEN c_custkey % 4 <> 0 THEN 'https://f/' || c_custkey END AS foto,
+          CASE WHEN c_custkey % 5 <> 0 THEN c_custkey || '@camara' END AS email, '61 ' || c_custkey AS fone,
+          'SALA ' || c_custkey AS sala, 'https://d/' || c_custkey AS uri FROM customer)"""
+CTE["hist"] = f"""hist AS (SELECT o_orderkey AS id, o_custkey AS k, 'PESSOA ' || o_custkey AS nome, 'URNA ' || o_custkey AS urna,
+          {pick('o_orderpriority', a.PARTY_OF_PRIORITY)} AS partido, {STATE}[o_custkey % 25 + 1] AS uf, 50 + o_custkey % 8 AS leg,
+          CASE WHEN o_orderstatus = 'P' THEN 'LICENÇA' ELSE 'EXERCÍCIO' END AS situacao,
+          CASE WHEN o_custkey % 10 = 0 THEN 'SUPLENTE' ELSE 'TITULAR' END AS condicao,
+          o_orderdate + INTERVAL 24 YEAR AS t, 'https://d/' || o_custkey AS uri,
+          CASE WHEN o_orderkey % 3 <> 0 THEN 'https://f' END AS foto
+        FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) AS rn FROM orders)
+        WHERE rn = 1)"""
+CTE["linha_do_tempo"] = """linha_do_tempo AS (SELECT k, nome, urna, partido, uf, leg, condicao, situacao, foto, uri, 'historico' AS fonte, t FROM hist
+        UNION ALL SELECT k, nome, urna, coalesce(partido, 'SEM PARTIDO'), coalesce(uf, uf_nasc, 'N/A'), coalesce(leg, 0),
+          coalesce(condicao, 'N/A'), coalesce(situacao, 'N/A'), foto, uri, 'detalhes', CAST(em AS TIMESTAMP) FROM pessoa)"""
+_NEEDS["linha_do_tempo"] = ["pessoa", "hist"]
+
+SQL["status_history"] = sql("hist", f"""
+SELECT id, k AS deputado_id, urna AS nome_eleitoral, partido AS sigla_partido, uf AS sigla_uf, leg AS id_legislatura,
+  situacao, condicao AS condicao_eleitoral, 'ALTERAÇÃO' AS descricao_status, {txt('t')} AS data_inicio_vigencia, uri,
+  'https://p' AS uri_partido, foto AS url_foto, nome AS nome_deputado FROM hist""")
+_none = ", ".join(
+    f"CAST(NULL AS VARCHAR) AS {c}" for c in
+    ("municipio_nascimento", "uf_nascimento", "sexo", "redes_sociais", "ultimo_status_email_gabinete",
+     "ultimo_status_telefone_gabinete", "ultimo_status_nome_gabinete", "data_nascimento", "cpf")
+)
+SQL["persons_from_two_sources"] = sql("pessoa hist", f"""
+SELECT k AS deputado_id, civil AS nome_civil, {txt('em')} AS ultimo_status_data, nome AS ultimo_status_nome,
+  urna AS ultimo_status_nome_eleitoral, partido AS ultimo_status_sigla_partido, uf AS ultimo_status_sigla_uf,
+  leg AS ultimo_status_id_legislatura, condicao AS ultimo_status_condicao_eleitoral,
+  situacao AS ultimo_status_situacao, foto AS ultimo_status_url_foto, uri, 'camara_deputados_detalhes' AS fonte_dado,
+  'BELÉM' AS municipio_nascimento, uf_nasc AS uf_nascimento, sexo, CAST(NULL AS VARCHAR) AS redes_sociais,
+  email AS ultimo_status_email_gabinete, fone AS ultimo_status_telefone_gabinete, sala AS ultimo_status_nome_gabinete,
+  {txt('nasc')} AS data_nascimento, cpf FROM pessoa WHERE cpf IS NOT NULL
+UNION ALL SELECT DISTINCT k, nome, {txt('CAST(t AS DATE)')}, nome, urna, partido, uf, leg, condicao, situacao, foto, uri,
+  'camara_deputado_historico', {_none} FROM hist WHERE k NOT IN (SELECT k FROM pessoa WHERE cpf IS NOT NULL)""")
+SQL["person_dimension"] = sql("linha_do_tempo", f"""
+WITH um AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, t ORDER BY fonte, partido) AS rn FROM linha_do_tempo)
+    WHERE rn = 1),
+ igual AS (SELECT *, row(nome, urna, partido, uf, leg, condicao, situacao) AS estado FROM um),
+ antes AS (SELECT *, lag(estado) OVER (PARTITION BY k ORDER BY t) AS anterior FROM igual),
+ v AS (SELECT *, lead(t) OVER (PARTITION BY k ORDER BY t) AS t1 FROM antes WHERE anterior IS NULL OR anterior <> estado)
+SELECT {key('v.k', 'v.t')} AS scd_id, v.k AS nk_deputado, v.nome AS nome_deputado, v.urna AS nome_eleitoral,
+  v.partido AS sigla_partido, v.uf AS sigla_uf, v.leg AS id_legislatura, v.condicao AS condicao_eleitoral,
+  v.situacao AS situacao, v.foto AS url_foto, v.uri AS uri, fonte AS fonte_origem, {txt('v.t')} AS valid_from,
+  {txt('t1')} AS valid_to, t1 IS NULL AS is_current, cpf, coalesce(civil, v.nome) AS nome_civil,
+  {txt('nasc')} AS data_nascimento, 'BELÉM' AS municipio_nascimento, uf_nasc AS uf_nascimento, sexo,
+  CAST(NULL AS VARCHAR) AS redes_sociais, email AS email_gabinete, fone AS telefone_gabinete, sala AS nome_gabinete,
+  year(DATE {q(AS_OF)}) - year(nasc) AS idade_atual,
+  CASE sexo WHEN 'M' THEN 'MASCULINO' WHEN 'F' THEN 'FEMININO' ELSE 'NÃO INFORMADO' END AS sexo_descricao,
+  {key(key('v.k', 'v.t'))} AS sk_deputado, v.situacao LIKE '%EXERC%' AS em_exercicio, v.condicao = 'TITULAR' AS eh_titular,
+  v.foto IS NOT NULL AS tem_foto, email IS NOT NULL AS tem_email_gabinete
+FROM v LEFT JOIN pessoa p ON p.k = v.k""")
+SQL["current_persons"] = sql("linha_do_tempo", f"""
+SELECT l.k AS deputado_id, l.nome AS nome_deputado, l.urna AS nome_eleitoral, l.partido AS sigla_partido, l.uf AS sigla_uf,
+  l.leg AS id_legislatura, l.condicao AS condicao_eleitoral, l.situacao, l.foto AS url_foto, l.uri, fonte AS fonte_origem,
+  {txt('t')} AS data_atualizacao
+FROM linha_do_tempo l JOIN pessoa p ON p.k = l.k
+WHERE (fonte = 'detalhes' AND cpf IS NOT NULL) OR (fonte = 'historico' AND cpf IS NULL
+  AND t = (SELECT max(h.t) FROM hist h WHERE h.k = l.k))""")
 
 SQL["status_listing"] = sql("ver dep", f"""
 SELECT nk_deputado, ano, situacao, id_legislatura, sigla_partido, {txt('t0')} AS valid_from FROM (
@@ -591,7 +659,7 @@ _pres_ctes = f"""pe AS (SELECT sk, k, nome, partido, uf, condicao, {_vote_counts
     CAST(coalesce(CASE WHEN orientados > 0 THEN {ratio('fiel', 'orientados')} * 100 END, 0) AS DECIMAL(18,8)) AS l8,
     {pct('calls', '(SELECT count(*) FROM vota)')} AS pres, {pct0('fiel', 'orientados')} AS taxa_fiel,
     {pct0('reb', 'orientados')} AS taxa_reb FROM pe)"""
-SQL["presence_loyalty"] = sql("fvoto", f"""
+_presence = f"""
 WITH {_pres_ctes},
  xu AS (SELECT uf, {avg('l8')} AS mu FROM pf GROUP BY uf),
  xp AS (SELECT partido, {avg('l8')} AS mp FROM pf GROUP BY partido)
@@ -615,7 +683,21 @@ SELECT sk AS sk_deputado, k AS deputado_id, nome AS nome_deputado, pf.partido AS
   coalesce(leal >= 0.85, FALSE) AS flag_alta_fidelidade, n >= 100 AS flag_participativo,
   coalesce(leal > mu / 100, FALSE) AS flag_fidelidade_acima_media_uf,
   coalesce(leal > mp / 100, FALSE) AS flag_fidelidade_acima_media_partido
-FROM pf JOIN xu ON xu.uf = pf.uf JOIN xp ON xp.partido = pf.partido""")
+FROM pf JOIN xu ON xu.uf IS NOT DISTINCT FROM pf.uf JOIN xp ON xp.partido IS NOT DISTINCT FROM pf.partido"""
+SQL["presence_loyalty"] = sql("fvoto", _presence)
+
+CTE["fvoto_versao"] = CTE["fvoto"].replace(
+    "LEFT JOIN dep d ON v.k = d.k", "LEFT JOIN dv d ON v.k = d.k AND v.ts >= d.t0 AND (d.t1 IS NULL OR v.ts < d.t1)"
+)
+CTE["dv"] = f"""dv AS (SELECT ver.k, t0, t1, {key('ver.k', 't0')} AS sk, nome, party AS partido, uf, condicao
+        FROM ver LEFT JOIN dep ON ver.k = dep.k)"""
+CTE["durante"] = """durante AS (SELECT dv.sk, count(vota.dia) AS realizadas FROM dv LEFT JOIN vota
+          ON dia >= CAST(t0 AS DATE) AND (t1 IS NULL OR CAST(dia AS TIMESTAMP) < t1) GROUP BY dv.sk)"""
+_NEEDS |= {"dv": ["ver", "dep"], "fvoto_versao": ["dv", "voto", "vota", "orient", "bill"], "durante": ["dv", "vota"]}
+_held = "(SELECT realizadas FROM durante WHERE durante.sk = pe.sk)"
+SQL["presence_on_versions"] = sql(
+    "fvoto_versao durante", _presence.replace("(SELECT count(*) FROM vota)", _held)
+)
 
 _disc_ctes = f"""ca AS (SELECT partido, id_votacao, count(*) AS n, count(DISTINCT voto) AS tipos,
     CASE WHEN count(*) >= 3 THEN {pct('''greatest(count(*) FILTER (voto = 'SIM'), count(*) FILTER (voto = 'NÃO'),

@@ -262,10 +262,12 @@ def _vote_counts(years: Sequence[int]) -> dict[str, Column]:
 
 
 def held_between(roll_calls: DataFrame, versions: DataFrame) -> DataFrame:
-    """Roll calls held while each person version was valid.
+    """Roll calls held on the days on which each person version was valid.
 
-    Roll calls are counted per day and summed along the calendar; a version then needs the sums
-    at its two ends instead of a match with every roll call. The calendar has one row per day.
+    A roll call has a day but no hour, so a version that begins or ends within a day counts all
+    roll calls of that day: whoever voted in one of them had it held. Roll calls are counted per
+    day and summed along the calendar; a version then needs the sums at its two ends instead of a
+    match with every roll call. The calendar has one row per day.
     """
     daily = roll_calls.groupBy("data_votacao").agg(F.count(F.lit(1)).alias("_n"))
     span = daily.agg(
@@ -285,11 +287,12 @@ def held_between(roll_calls: DataFrame, versions: DataFrame) -> DataFrame:
         daily,
     )
     top = F.date_add("_hi", 1)
+    last_day = F.expr("CAST(valid_to - INTERVAL '0.000001' SECOND AS DATE)")
     clipped = limits.select(
         "sk_deputado",
         F.least(F.greatest(F.col("valid_from").cast("date"), F.col("_lo")), top).alias("_from"),
         F.least(
-            F.greatest(F.coalesce(F.col("valid_to").cast("date"), top), F.col("_lo")), top
+            F.greatest(F.coalesce(F.date_add(last_day, 1), top), F.col("_lo")), top
         ).alias("_to"),
     )
     first = before.select(F.col("_day").alias("_from"), F.col("_before").alias("_a"))

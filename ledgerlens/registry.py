@@ -357,14 +357,41 @@ def safe_anti(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def union_null_pad(spark: SparkSession, d: str) -> DataFrame:
-    """Two sources of one entity: the first one wins, the second fills up with NULL columns."""
-    first = a.table(spark, d, "customer").where(F.col("c_acctbal") > 0).select(
-        (F.col("c_custkey") % 100).alias("chave"), F.col("c_mktsegment").alias("segmento")
-    ).distinct()
-    second = a.table(spark, d, "supplier").select(F.col("s_suppkey").alias("chave"), F.col("s_name").alias("nome"))
+    """Two sources of one entity: persons with orders come from there, all others from the list of
+    persons; columns that a source lacks are NULL."""
+    first = a.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("chave")).agg(
+        F.count(F.lit(1)).alias("pedidos")
+    )
+    second = a.table(spark, d, "customer").select(F.col("c_custkey").alias("chave"), F.col("c_name").alias("nome"))
     return history.prefer_first(first, second, ["chave"])
 
 
+def _people(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return staging.profiles(a.profiles(spark, d)), staging.status_history(a.raw_status_log(spark, d))
+
+
+@query
+def status_history(spark: SparkSession, d: str) -> DataFrame:
+    return _people(spark, d)[1]
+
+
+@query
+def persons_from_two_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Profiles with a tax number, and the status rows of everyone else."""
+    return staging.persons(*_people(spark, d))
+
+
+@query
+def person_dimension(spark: SparkSession, d: str) -> DataFrame:
+    return dimensions.person_dimension(*_people(spark, d), AS_OF)
+
+
+@query
+def current_persons(spark: SparkSession, d: str) -> DataFrame:
+    profiles, log = _people(spark, d)
+    return dimensions.current_persons(profiles.dropna(subset=["cpf"]), log)
+
+
 @query
 def status_listing(spark: SparkSession, d: str) -> DataFrame:
     """Timeline of every person: one version per year, situation and term."""
@@ -448,6 +475,17 @@ def presence_loyalty(spark: SparkSession, d: str) -> DataFrame:
     return marts.presence(_vote_facts(spark, d), _roll_calls(spark, d), a.deputies(spark, d))
 
 
+@query
+def presence_on_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Presence of persons who change their party: each version against the roll calls of its days."""
+    people = a.deputy_versions(spark, d)
+    votes = facts.vote_fact(
+        _votes(spark, d), _roll_calls(spark, d), staging.guidances(a.guidances(spark, d)),
+        _bills(spark, d), people,
+    )
+    return marts.presence(votes, _roll_calls(spark, d), people)
+
+
 @query
 def discipline_cohesion(spark: SparkSession, d: str) -> DataFrame:
     return marts.discipline(materialize(_vote_facts(spark, d), "votes"))
@@ -720,12 +758,10 @@ def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd").alias("dia"),
     )
     folder, path = new_path(spark, "arrivals"), new_path(spark, "unique")
-    events.repartition(2).write.parquet(folder)
-    stream = streams.arriving_files(spark, folder, events.schema)
-    unique = streams.drop_repeats(stream, ["user_id", "event_type", "dia"], "ts", "60 days")
-    run = (
-        unique.writeStream.format("parquet").option("path", path)
-        .option("checkpointLocation", new_path(spark, "offsets")).trigger(availableNow=True).start()
+    events.repartition(2, "user_id", "ts").write.parquet(folder)
+    stream = streams.arriving_files(spark, folder, events.schema, files_per_batch=1)
+    run = streams.append_unique(
+        stream, path, new_path(spark, "offsets"), ["user_id", "event_type", "dia"], ["dia"]
     )
     run.awaitTermination()
     return spark.read.schema(events.schema).parquet(path).select("user_id", "event_type", "dia")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlens.operators.upsert import upsert
+from ledgerlens.operators.windows import latest
 
 
 def arriving_files(
@@ -29,10 +31,49 @@ def arriving_files(
 
 
 def drop_repeats(stream: DataFrame, keys: Sequence[str], time: str, within: str) -> DataFrame:
-    """Drop rows whose key was seen before, with state kept only as long as ``within``."""
+    """Drop rows whose key was seen before, with state kept only as long as ``within``.
+
+    Rows that arrive later than ``within`` are dropped too, repeated or not; where they must stay,
+    use ``append_unique``.
+    """
     return stream.withWatermark(time, within).dropDuplicatesWithinWatermark(list(keys))
 
 
+def append_unique(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str] = (),
+    order_by: Sequence[Column] = (),
+    every: str | None = None,
+) -> StreamingQuery:
+    """Append the rows whose key is not yet in the table at ``path``, however late they arrive.
+
+    The table itself is the memory, so no state grows and no late row is lost. Of several rows of
+    a key in one batch the first in ``order_by`` stays. ``partition_by`` must follow from the keys;
+    only folders that the batch touches are then read. A replayed batch adds nothing.
+    """
+    keys, parts = list(keys), list(partition_by)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        order = [*order_by, F.xxhash64(*batch.columns)]
+        new = latest(batch, keys, order)
+        new.limit(0).write.partitionBy(*parts).mode("append").parquet(path)
+        stored = batch.sparkSession.read.schema(batch.schema).parquet(path).select(*keys)
+        if parts:
+            stored = stored.join(batch.select(*parts).distinct(), parts, "left_semi")
+        known = F.lit(True)
+        for k in keys:
+            known = known & new[k].eqNullSafe(stored[k])
+        fresh = new.join(stored, known, "left_anti")
+        fresh.write.partitionBy(*parts).mode("append").parquet(path)
+
+    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.trigger(**trigger).start()
+
+
 def merge_stream(
     stream: DataFrame,
     path: str,

@@ -204,3 +204,16 @@ def test_every_schema_matches_its_projection():
     for name in schemas.TABLES:
         assert [f.name for f in schemas.schema(name).fields] == list(schemas.projection(name))
         assert set(schemas.keys(name)) <= set(schemas.projection(name))
+
+
+def test_unique_stream_keeps_late_rows(spark, tmp_path):
+    """A row two years late whose key is new stays; repeats go, in a batch and across batches."""
+    schema = "k int, dia string, v int"
+    folder, path = str(tmp_path / "in"), str(tmp_path / "t")
+    batches = [[(1, "2024-05-01", 1), (1, "2024-05-01", 1)], [(1, "2024-05-01", 2), (2, "2022-01-01", 3)], [(None, "2024-05-01", 4)]]
+    for rows in [*batches, batches[2]]:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        stream = streams.arriving_files(spark, folder, T._parse_datatype_string(schema), files_per_batch=1)
+        streams.append_unique(stream, path, str(tmp_path / "offsets"), ["k", "dia"], ["dia"]).awaitTermination()
+    got = spark.read.schema(schema).parquet(path).collect()
+    assert sorted(map(tuple, got), key=repr) == [(1, "2024-05-01", 1), (2, "2022-01-01", 3), (None, "2024-05-01", 4)]

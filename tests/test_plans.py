@@ -126,11 +126,12 @@ def test_roll_calls_held_during_a_version(spark):
             ("all", datetime(2000, 1, 1), None), ("first", datetime(2000, 1, 1), datetime(2024, 1, 5)),
             ("mid", datetime(2024, 1, 2), datetime(2024, 1, 6)), ("late", datetime(2025, 1, 1), None),
             ("old", datetime(1999, 1, 1), datetime(2000, 1, 1)),
+            ("until noon", datetime(2000, 1, 1), datetime(2024, 1, 5, 12)), ("since noon", datetime(2024, 1, 5, 12), None),
         ],
         "sk_deputado string, valid_from timestamp_ntz, valid_to timestamp_ntz",
     )
     got = {r.sk_deputado: r.votacoes_realizadas for r in marts.held_between(calls, versions).collect()}
-    assert got == {"all": 4, "first": 2, "mid": 1, "late": 0, "old": 0}
+    assert got == {"all": 4, "first": 2, "mid": 1, "late": 0, "old": 0, "until noon": 3, "since noon": 2}
 
 
 def test_switching_counts_changes_over_the_whole_history(spark):
