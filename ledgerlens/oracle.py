@@ -419,12 +419,13 @@ SELECT k AS deputado_id, civil AS nome_civil, {txt('em')} AS ultimo_status_data,
   {txt('nasc')} AS data_nascimento, cpf FROM pessoa WHERE cpf IS NOT NULL
 UNION ALL SELECT DISTINCT k, nome, {txt('CAST(t AS DATE)')}, nome, urna, partido, uf, leg, condicao, situacao, foto, uri,
   'camara_deputado_historico', {_none} FROM hist WHERE k NOT IN (SELECT k FROM pessoa WHERE cpf IS NOT NULL)""")
-SQL["person_dimension"] = sql("linha_do_tempo", f"""
-WITH um AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, t ORDER BY fonte, partido) AS rn FROM linha_do_tempo)
+CTE["v"] = """um AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, t ORDER BY fonte, partido) AS rn FROM linha_do_tempo)
     WHERE rn = 1),
  igual AS (SELECT *, row(nome, urna, partido, uf, leg, condicao, situacao) AS estado FROM um),
  antes AS (SELECT *, lag(estado) OVER (PARTITION BY k ORDER BY t) AS anterior FROM igual),
- v AS (SELECT *, lead(t) OVER (PARTITION BY k ORDER BY t) AS t1 FROM antes WHERE anterior IS NULL OR anterior <> estado)
+ v AS (SELECT *, lead(t) OVER (PARTITION BY k ORDER BY t) AS t1 FROM antes WHERE anterior IS NULL OR anterior <> estado)"""
+_NEEDS["v"] = ["linha_do_tempo"]
+SQL["person_dimension"] = sql("v", f"""
 SELECT {key('v.k', 'v.t')} AS scd_id, v.k AS nk_deputado, v.nome AS nome_deputado, v.urna AS nome_eleitoral,
   v.partido AS sigla_partido, v.uf AS sigla_uf, v.leg AS id_legislatura, v.condicao AS condicao_eleitoral,
   v.situacao AS situacao, v.foto AS url_foto, v.uri AS uri, fonte AS fonte_origem, {txt('v.t')} AS valid_from,
@@ -563,7 +564,7 @@ def _spend(join: str) -> str:
   FROM g)"""
 
 
-SQL["spend_by_entity_quota"] = sql("exp ver dep", f"""
+_spending = f"""
 WITH {_spend('LEFT JOIN')}
 SELECT h.sk AS sk_deputado, deputado_id,
   CASE WHEN t0 IS NULL THEN 'Deputado ID: ' || deputado_id ELSE dep.nome END AS nome_deputado,
@@ -579,7 +580,19 @@ SELECT h.sk AS sk_deputado, deputado_id,
   {txt('ultima')} AS ultima_despesa, uso AS percentual_uso_cota_mensal, {key('h.sk')} AS sk_gastos_deputado,
   {since('uso', rules.QUOTA_CUTS, rules.QUOTA_LABELS)} AS classificacao_uso_cota,
   coalesce(glosa < 5, FALSE) AS flag_baixa_glosa, coalesce(uso < 80, FALSE) AS flag_uso_eficiente
-FROM h LEFT JOIN dep ON h.deputado_id = dep.k""")
+FROM h LEFT JOIN dep ON h.deputado_id = dep.k"""
+SQL["spend_by_entity_quota"] = sql("exp ver dep", _spending)
+
+CTE["versoes"] = """ver AS (SELECT k, t AS t0, t1, partido AS party FROM v),
+      dep AS (SELECT v.k, t AS t0, v.nome, coalesce(civil, v.nome) AS civil, v.uf, v.condicao, v.situacao
+        FROM v LEFT JOIN pessoa ON pessoa.k = v.k)"""
+_NEEDS["versoes"] = ["v"]
+SQL["spend_on_person_pipeline"] = sql(
+    "exp versoes",
+    _spending.replace(key("deputado_id", "t0"), key(key("deputado_id", "t0")))
+    .replace("h.deputado_id = dep.k", "h.deputado_id = dep.k AND h.t0 = dep.t0")
+    .replace("t0 IS NULL", "h.t0 IS NULL").replace("CASE WHEN h.t0 IS NULL THEN 'DEPUTADO_NAO", "CASE WHEN t0 IS NULL THEN 'DEPUTADO_NAO"),
+)
 
 SQL["spend_vs_state_segment_avg"] = sql("exp ver dep", f"""
 WITH {_spend('JOIN')},

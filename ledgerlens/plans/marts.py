@@ -51,8 +51,8 @@ def spend_per_person(
     Documents without a valid version keep a placeholder, or are left out with
     ``require_version``. Only the version key travels with the documents; names and other
     attributes are joined to the finished totals. The documents are read and joined once: lines are
-    merged per (version, document), which spreads a person with very many documents over tasks,
-    and the totals are taken from there. A person's set of months is bounded by the calendar.
+    merged per (version, document, month), which spreads a person with very many documents over
+    tasks, then per month, where a document counts in its first one, then per version.
     """
     keys = versions.select("nk_deputado", "sk_deputado", "valid_from", "valid_to")
     joined = with_versions(
@@ -67,7 +67,10 @@ def spend_per_person(
     joined = joined.withColumn(
         "sk_deputado", key_or_placeholder("sk_deputado", "nk_deputado", MISSING_PERSON)
     )
-    documents = joined.groupBy("nk_deputado", "sk_deputado", "cod_documento").agg(
+    version = ["nk_deputado", "sk_deputado"]
+    merged = joined.groupBy(
+        *version, "cod_documento", dates.month_index("ano", "mes").alias("_month")
+    ).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.sum(amount).alias("_doc"),
         F.sum("valor_liquido").alias("_net"),
@@ -76,14 +79,19 @@ def spend_per_person(
             sum_where(F.col("faixa_valor") == label, amount, 0).alias(name)
             for name, label in bands.items()
         ],
-        F.collect_set(F.struct("ano", "mes")).alias("_months"),
         F.min("data_documento").alias("_first"),
         F.max("data_documento").alias("_last"),
     )
-    months = F.array_distinct(F.flatten(F.collect_set("_months")))
-    known = documents.groupBy("nk_deputado", "sk_deputado").agg(
-        F.count(F.lit(1)).alias("total_documentos"),
-        F.size(months).cast("bigint").alias("total_meses_atividade"),
+    nth = F.row_number().over(Window.partitionBy(*version, "cod_documento").orderBy("_month"))
+    monthly = merged.withColumn("_nth", nth).groupBy(*version, "_month").agg(
+        count_where((F.col("_nth") == 1) & F.col("cod_documento").isNotNull()).alias("_docs"),
+        *[F.sum(c).alias(c) for c in ("_rows", "_doc", "_net", "_cut", *bands)],
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+    )
+    known = monthly.groupBy(*version).agg(
+        F.sum("_docs").alias("total_documentos"),
+        F.count("_month").alias("total_meses_atividade"),
         F.sum("_doc").alias("valor_total_gasto"),
         F.sum("_net").alias("valor_total_liquido"),
         F.sum("_cut").alias("valor_total_glosa"),

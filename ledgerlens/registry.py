@@ -450,6 +450,14 @@ def spend_by_entity_quota(spark: SparkSession, d: str) -> DataFrame:
     return marts.spend_per_person(_expense_facts(spark, d), a.deputy_versions(spark, d))
 
 
+@query
+def spend_on_person_pipeline(spark: SparkSession, d: str) -> DataFrame:
+    """Spending from landed records on: cleaned documents, versions out of profiles and status log."""
+    people = dimensions.person_dimension(*_people(spark, d), AS_OF)
+    documents = facts.expense_fact(staging.expenses(a.expenses(spark, d)))
+    return marts.spend_per_person(documents, materialize(people, "people"))
+
+
 @query
 def spend_vs_state_segment_avg(spark: SparkSession, d: str) -> DataFrame:
     return marts.spend_with_benchmarks(_expense_facts(spark, d), a.deputy_versions(spark, d)).select(
