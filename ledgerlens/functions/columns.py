@@ -45,7 +45,3 @@ def pick_where(predicate: Column, values: Iterable[str], order: Iterable[str]) -
 
 def flag(predicate: Column, name: str) -> Column:
     return truth(predicate).alias(name)
-
-
-def cols(names: Iterable[str]) -> list[Column]:
-    return [F.col(n) for n in names]

@@ -16,15 +16,6 @@ def coerce(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns({n: F.col(n).try_cast(t) for n, t in types.items()})
 
 
-def canonical(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    """Select and rename: new name to source column."""
-    return df.select(*[F.col(src).alias(new) for new, src in names.items()])
-
-
-def require(df: DataFrame, *names: str) -> DataFrame:
-    return df.dropna(subset=list(names))
-
-
 def at_least(df: DataFrame, name: str, low: object) -> DataFrame:
     """Rows with ``name >= low``; NULL does not qualify."""
     return df.where(F.col(name) >= F.lit(low))

@@ -963,10 +963,14 @@ SQL["type_by_year"] = sql("exp", f"""
 SELECT tipo AS tipo_despesa, ano, {dbl('sum(net)')} AS total_gasto, count(*) AS qtd_despesas,
   {ratio('sum(net)', 'count(net)')} AS valor_medio FROM exp GROUP BY tipo, ano""")
 
+SQL["type_totals"] = sql("exp", f"""
+SELECT tipo AS tipo_despesa, {dbl('sum(net)')} AS total_gasto, count(*) AS qtd_transacoes FROM exp GROUP BY tipo""")
+
 SQL["detail_listing"] = sql("pv", f"""
 SELECT deputado_id AS nk_deputado, ano, {_months}[mes] AS nome_mes, party AS sigla_partido, duf AS sigla_uf,
   leg AS id_legislatura, tipo AS tipo_despesa, fornecedor AS nome_fornecedor, {txt('quando')} AS data_documento,
   l_orderkey || '/' || l_linenumber AS num_documento, l_linestatus AS tipo_documento,
+  CASE l_returnflag WHEN 'N' THEN ' ' WHEN 'R' THEN 'https://doc/' || l_orderkey END AS url_documento,
   {dbl('doc')} AS valor_documento, {dbl('net')} AS valor_liquido, {dbl('cut')} AS valor_glosa
 FROM pv WHERE ano = 2022 AND party = 'PT'""")
 

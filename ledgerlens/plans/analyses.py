@@ -21,7 +21,6 @@ from ledgerlens.operators.lineage import materialize
 from ledgerlens.operators.ordered import group_median, middle_mean, ordered_prefix
 from ledgerlens.operators.windows import (
     largest,
-    latest,
     lorenz,
     period_growth,
     pivot_sum,
@@ -651,11 +650,3 @@ def type_party_shares(expenses: DataFrame, n: int = 5) -> DataFrame:
         shared, ["tipo_despesa"], [F.col("valor").desc(), F.col("sigla_partido").asc()], n, "posicao"
     )
     return top.withColumn("percentual", round_to("percentual"))
-
-
-def newest_attributes(expenses: DataFrame, keys: Sequence[str], *names: str) -> DataFrame:
-    """Attributes on the newest document of each key."""
-    order = [F.col("data_documento").desc(), F.col("cod_documento").desc()]
-    return latest(expenses.select(*keys, *names, "data_documento", "cod_documento"), keys, order).select(
-        *keys, *names
-    )

@@ -594,7 +594,13 @@ def type_by_year(spark: SparkSession, d: str) -> DataFrame:
 @query
 def detail_listing(spark: SparkSession, d: str) -> DataFrame:
     docs = _with_person_version(spark, d, supplier_name=True, kind=True)
-    return person.details(docs, year=2022, party="PT").drop("url_documento")
+    return person.details(docs, year=2022, party="PT")
+
+
+@query
+def type_totals(spark: SparkSession, d: str) -> DataFrame:
+    docs = a.expenses(spark, d, kind=True).withColumnRenamed("deputado_id", "nk_deputado")
+    return person.by_type(docs)
 
 
 @query
