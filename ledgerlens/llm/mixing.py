@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import settled, table
+from ledgerlens.llm.common import settled, stored, table
 
 PERIOD = 1000  # slots; weights are rounded to whole slots of a period
 BLOCK = 16  # documents per block
@@ -113,6 +113,7 @@ def mix(
     weights: dict[str | None, float] | None = None,
     period: int = PERIOD,
     block: int = BLOCK,
+    row: str | None = None,
 ) -> DataFrame:
     """``doc_id, source, parts, period, block, release, deadline, slot, place, balanced, row_id``.
 
@@ -122,13 +123,13 @@ def mix(
     the other sources keep their proportions to each other. Without ``weights`` targets are the
     shares of all rows to the power 0.7; a source that is not named gets one slot per period.
     Null sources are a source of their own; repeated rows and null ids are rows like any others
-    (told apart by ``row_id``, their number in the scan, so ``docs`` should be a stored table); an
+    (told apart by ``row_id``, their number in one scan, or the stored column that ``row`` names); an
     empty table gives an empty result.
     """
     slim = docs.select(
         F.col("source").cast("string").alias("source"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.monotonically_increasing_id().alias("row_id"),
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("row_id"),
     ).withColumn("h", F.xxhash64("doc_id"))
     counts = settled(slim.groupBy("source").agg(F.count(F.lit(1)).alias("n")))
     parts = settled(target_parts(counts, weights, period))
@@ -161,11 +162,12 @@ def mix(
 def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
     """``docs`` in the order of the mixed stream, every row once, columns unchanged.
 
-    Rows are joined to their places by their number in the scan, then range-partitioned and
-    sorted by place, so files written from the result follow the schedule.
+    Rows are numbered once and stored with their number, as another scan may number them otherwise.
+    They are joined to their places by it, then range-partitioned and sorted by place, so files
+    written from the result follow the schedule.
     """
-    places = mix(docs, **options).select(F.col("row_id").alias("__row"), F.col("place").alias("__place"))
-    keyed = docs.withColumn("__id", F.monotonically_increasing_id())
+    keyed = stored(docs.withColumn("__id", F.monotonically_increasing_id()), "numbered")
+    places = mix(keyed, row="__id", **options).select(F.col("row_id").alias("__row"), F.col("place").alias("__place"))
     joined = keyed.join(places, F.col("__id") == F.col("__row"))
     out = joined.repartitionByRange("__place").sortWithinPartitions("__place")
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -68,11 +68,13 @@ def _decide(pages: DataFrame, least: int) -> DataFrame:
     """Which row answers for each payload: the smallest page_id, then the first such row.
 
     Payloads are equal if their SHA-1 and length are. Each payload's first row is an aggregate,
-    joined back, so a payload that a third of all pages share is not gathered anywhere.
+    joined back, so a payload that a third of all pages share is not gathered anywhere. The result
+    is stored, with all that a record needs besides its payload: rows are numbered only once.
     """
     slim = settled(
         pages.select(
-            "row_id", "page_id", F.sha1("payload").alias("sha"), F.length("payload").alias("size")
+            F.monotonically_increasing_id().alias("row_id"),
+            "page_id", "url", F.sha1("payload").alias("sha"), F.length("payload").alias("size"),
         )
     )
     first = slim.where(F.col("size") >= least).groupBy("sha", "size").agg(
@@ -83,7 +85,7 @@ def _decide(pages: DataFrame, least: int) -> DataFrame:
     )
     own = F.col("first").isNull() | (F.col("first.row_id") == F.col("row_id"))
     return slim.join(first, ["sha", "size"], "left").select(
-        "row_id",
+        "row_id", "page_id", "url", "sha", "size",
         F.when(~own, F.col("first.page_id")).alias("to_page"),
         F.when(~own, F.col("first.row_id")).alias("to_row"),
         F.when(own, "response").otherwise("revisit").alias("kind"),
@@ -95,20 +97,18 @@ def write_archive(pages: DataFrame, path: str, chunk: int = CHUNK, least: int =
 
     A null html counts as empty, a null url as empty; line ends in a url become spaces. Rows may
     repeat: every row gets a record of its own. Other columns are not read.
+
+    Responses find their bytes by digest and length, not by a row's number in another scan;
+    revisits need none.
     """
-    rows = pages.select(
-        F.col("page_id").cast("bigint"),
-        "url",
-        whole("html").cast("binary").alias("payload"),
-        F.monotonically_increasing_id().alias("row_id"),
-    )
+    rows = pages.select(F.col("page_id").cast("bigint"), "url", whole("html").cast("binary").alias("payload"))
     decided = _decide(rows, least)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def chunks() -> Iterator[tuple]:
             for part in parts:
-                for page, url, payload, row, to_page, to_row, kind in zip(
-                    *[part[c] for c in ("page_id", "url", "payload", "row_id", "to_page", "to_row", "kind")],
+                for page, url, payload, sha, size, row, to_page, to_row, kind in zip(
+                    *[part[c] for c in ("page_id", "url", "payload", "sha", "size", "row_id", "to_page", "to_row", "kind")],
                     strict=True,
                 ):
                     page = None if pd.isna(page) else int(page)
@@ -116,11 +116,8 @@ def write_archive(pages: DataFrame, path: str, chunk: int = CHUNK, least: int =
                     other = None
                     if kind == "revisit":
                         other = record_name(None if pd.isna(to_page) else int(to_page), int(to_row))
-                    full = memoryview(payload)
-                    digest = hashlib.sha1()
-                    digest.update(full)
-                    head = header(kind, name, _one_line(url), base32(digest.digest()), len(full), other)
-                    stored = full if kind == "response" else full[:0]
+                    head = header(kind, name, _one_line(url), base32(bytes.fromhex(sha)), int(size), other)
+                    stored = memoryview(payload if kind == "response" else b"")
                     count = max(1, -(-len(stored) // chunk))
                     so_far = hashlib.sha1()
                     for no in range(count):
@@ -134,7 +131,11 @@ def write_archive(pages: DataFrame, path: str, chunk: int = CHUNK, least: int =
         for frame in frames(_NAMES, chunks(), 64):
             yield frame.astype({"page_id": "Int64"})
 
-    rows.join(decided, "row_id").mapInPandas(run, _CHUNKS).write.parquet(path)
+    digests = rows.select(F.sha1("payload").alias("sha"), F.length("payload").alias("size"), "payload")
+    payloads = digests.groupBy("sha", "size").agg(F.first("payload").alias("payload"))
+    responses = decided.where("kind = 'response'").join(payloads, ["sha", "size"])
+    revisits = decided.where("kind = 'revisit'").withColumn("payload", F.lit(None).cast("binary"))
+    responses.unionByName(revisits).mapInPandas(run, _CHUNKS).write.parquet(path)
 
 
 _READ = (
