@@ -2,7 +2,7 @@
 
 The cost of a piece of n tokens is ``linear * n + square * n**2`` (the feed-forward part and
 attention inside the piece). Documents longer than a sequence first give full pieces; what is left
-of each is dealt evenly over shards of bounded size. A shard opens as many sequences as its tokens
+of each is dealt evenly over shards of bounded size, or shards are stretches of a given order. A shard opens as many sequences as its tokens
 need and assigns pieces, longest first, to the cheapest sequence that still has room. Pieces that
 fit nowhere are cut over the largest gaps, so a shard has at most one sequence's worth of padding.
 """
@@ -15,10 +15,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import crc_of, table, texts, whole
+from ledgerlens.llm.common import crc_of, settled, table, texts, whole
 
 LENGTH = 4096
 END = 2
@@ -110,34 +110,73 @@ def ids_of(path: str) -> Ids:
     return _MADE[path]
 
 
-_PIECES = "shard int, doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary"
+_PIECES = "shard int, doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary, place bigint"
+
+
+def stretches(docs: DataFrame, shard_chars: int) -> DataFrame:
+    """``docs`` (read from files) with ``shard`` and ``place``: consecutive stretches of the files' order.
+
+    The order is that of file names and, inside a file, of rows, as they were written. A stretch
+    has ``shard_chars`` characters and at most one document more. Characters are summed per block
+    of rows, blocks per file; only files and the blocks of one file are ever ordered in one task.
+    """
+    block = 1000
+    placed = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        whole().alias("text"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("row"),
+    ).withColumn("block", F.floor(F.col("row") / block))
+    size = F.length("text").cast("bigint") + 1
+    slim = settled(placed.select("file", "block", "row", size.alias("size")))
+    blocks = slim.groupBy("file", "block").agg(F.sum("size").alias("size"))
+    files = blocks.groupBy("file").agg(F.sum("size").alias("size"))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    ahead = files.select("file", F.coalesce(F.sum("size").over(before.orderBy("file")), F.lit(0)).alias("files"))
+    within = before.partitionBy("file").orderBy("block")
+    starts = blocks.select("file", "block", F.coalesce(F.sum("size").over(within), F.lit(0)).alias("blocks")).join(ahead, "file")
+    inside = before.partitionBy("file", "block").orderBy("row")
+    rows = slim.select("file", "block", "row", F.coalesce(F.sum("size").over(inside), F.lit(0)).alias("rows"))
+    at = rows.join(starts, ["file", "block"]).select(
+        "file", "row", (F.col("files") + F.col("blocks") + F.col("rows")).alias("place")
+    )
+    return placed.drop("block").join(at, ["file", "row"]).select(
+        "doc_id", "text", "place", F.floor(F.col("place") / shard_chars).cast("int").alias("shard")
+    )
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int, shards: int) -> DataFrame:
     """Full pieces (without ids), and what is left of each document (with ids, two bytes each).
 
-    Pieces are dealt round over the shards, so copies and long documents never meet in one.
+    Pieces are dealt round over the shards, so copies and long documents never meet in one. Where
+    documents have a ``shard`` and a ``place``, as from :func:`stretches`, theirs stay.
     """
+    ordered = "shard" in docs.columns
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids_in = ids_of(tokenizer)
         turn = TaskContext.get().partitionId() * 7919
         for part in parts:
             docs, values = part["doc_id"].tolist(), texts(part["text"])
+            own = part["shard"].tolist() if ordered else [None] * len(docs)
+            places = part["place"].tolist() if ordered else [0] * len(docs)
             for at in range(0, len(values), 256):
                 rows = []
-                for doc, text in zip(docs[at : at + 256], values[at : at + 256], strict=True):
+                some = slice(at, at + 256)
+                for doc, text, shard, place in zip(docs[some], values[some], own[some], places[some], strict=True):
                     ids = np.append(ids_in(text), np.uint16(END))
                     doc = None if pd.isna(doc) else int(doc)
                     for start in range(0, len(ids), length):
                         piece = ids[start : start + length]
                         body = piece.tobytes() if len(piece) < length else None
                         turn += 1
-                        rows.append((turn % shards, doc, start, len(piece), crc_of(piece), len(ids), body))
+                        to = shard if ordered else turn % shards
+                        rows.append((to, doc, start, len(piece), crc_of(piece), len(ids), body, place))
                 made_rows = pd.DataFrame(rows, columns=[c.split()[0] for c in _PIECES.split(", ")])
                 yield made_rows.astype({"doc_id": "Int64"})
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), whole().alias("text"))
+    more = ["shard", "place"] if ordered else []
+    rows = docs.select(F.col("doc_id").cast("bigint"), whole().alias("text"), *more)
     return rows.mapInPandas(run, _PIECES)
 
 
@@ -180,28 +219,41 @@ _OUT = (
 )
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, shard_chars: int = SHARD_CHARS) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    tokenizer: str,
+    length: int = LENGTH,
+    shard_chars: int = SHARD_CHARS,
+    in_order: bool = False,
+) -> DataFrame:
     """One row per piece: where it starts in its document, its length and where it is placed.
 
     A null text counts as empty and gives the end id alone. Repeated rows and rows without an id
     are packed like any other; an empty table gives an empty result; other columns are not read.
+
+    With ``in_order`` shards are consecutive stretches of the files that ``docs`` reads, sequence
+    ids rise from stretch to stretch, and inside one by the mean place of a sequence's tokens. So
+    every prefix of the sequences holds the documents of a prefix of the order, up to one stretch.
     """
-    total = docs.agg(F.sum(F.length(whole()).cast("bigint") + 1)).first()[0] or 0
-    shards = max(1, -(-total // shard_chars))
+    if in_order:
+        docs, shards = stretches(docs, shard_chars), 0
+    else:
+        total = docs.agg(F.sum(F.length(whole()).cast("bigint") + 1)).first()[0] or 0
+        shards = max(1, -(-total // shard_chars))
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         shard = int(key[0])
-        part = part.sort_values(["doc_id", "start", "length", "ids_crc32"], kind="stable", ignore_index=True)
+        part = part.sort_values(["place", "doc_id", "start", "length", "ids_crc32"], kind="stable", ignore_index=True)
         full = part["length"] == length
         rest = part[~full].reset_index(drop=True)
         done = part[full].copy()
         done["sequence_id"] = (shard << 31) + np.arange(len(done))
         done["offset"] = 0
         first = (shard << 31) + len(done)
-        rows, used = [], {}
+        rows, placed, used = [], [], {}
         docs, starts = rest["doc_id"].tolist(), rest["start"].tolist()
         crcs, tokens, bodies = rest["ids_crc32"].tolist(), rest["doc_tokens"].tolist(), rest["ids"].tolist()
-        sizes = rest["length"].to_numpy(np.int64)
+        sizes, places = rest["length"].to_numpy(np.int64), rest["place"].tolist()
         for piece, at, size, to in assign(sizes, length):
             crc = crcs[piece]
             if size != sizes[piece]:
@@ -209,10 +261,18 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, shard_chars: int
             doc = None if pd.isna(docs[piece]) else int(docs[piece])
             offset = used.get(to, 0)
             rows.append((doc, starts[piece] + at, size, crc, tokens[piece], first + to, offset))
+            placed.append(places[piece])
             used[to] = offset + size
         names = [c.split()[0] for c in _OUT.split(", ")]
         made = pd.DataFrame(rows, columns=names)
-        return pd.concat([done[names].astype({"doc_id": "Int64"}), made.astype({"doc_id": "Int64"})])
+        out = pd.concat([done[names].astype({"doc_id": "Int64"}), made.astype({"doc_id": "Int64"})], ignore_index=True)
+        if in_order:
+            out["place"] = done["place"].tolist() + placed
+            mean = (out["place"] * out["length"]).groupby(out["sequence_id"]).sum() / out.groupby("sequence_id")["length"].sum()
+            order = mean.sort_values(kind="stable").index
+            out["sequence_id"] = out["sequence_id"].map(pd.Series((shard << 31) + np.arange(len(order)), order))
+            out = out[names]
+        return out
 
     dealt = pieces(docs, tokenizer, length, int(shards))
     return dealt.groupBy("shard").applyInPandas(run, _OUT)
