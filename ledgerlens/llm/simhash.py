@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import settled, table, texts, whole
+from ledgerlens.llm.common import settled, table, text_key, texts, whole
 from ledgerlens.llm.graph import components, forest
 
 WORDS = 4
@@ -52,15 +52,18 @@ def fingerprint(text: str, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id, fp``: one row per row of ``docs``; the fingerprint as a signed long."""
+    """``doc_id, key, fp``: one row per row of ``docs``; a hash of the text, and the fingerprint as a
+    signed long."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             made = np.array([fingerprint(t, words) for t in texts(part["text"])], np.uint64)
-            yield pd.DataFrame({"doc_id": part["doc_id"], "fp": made.view(np.int64)})
+            yield pd.DataFrame({"doc_id": part["doc_id"], "key": part["key"], "fp": made.view(np.int64)})
 
-    kept = docs.select(F.col("doc_id").cast("bigint"), whole().alias("text"))
-    return kept.mapInPandas(run, "doc_id bigint, fp bigint")
+    kept = docs.select(
+        F.col("doc_id").cast("bigint"), text_key(whole()).alias("key"), whole().alias("text")
+    )
+    return kept.mapInPandas(run, "doc_id bigint, key bigint, fp bigint")
 
 
 def _together(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -189,6 +192,18 @@ def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     return forest(found.select("a", "b"))
 
 
+def _grouped(docs: DataFrame, words: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows ``doc_id, key, fp``, and ``fp, first, root``: the smallest (doc_id, key) of each fingerprint
+    and the smallest fingerprint of its component."""
+    made = settled(fingerprints(docs, words))
+    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "key"))
+    firsts = settled(made.groupBy("fp").agg(F.min(named).alias("first")))
+    roots = components(links(firsts.select("fp"), bits))
+    return made, firsts.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs`` (doc_id, text).
 
@@ -197,13 +212,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> Da
     null id keeps its row; it never names a component, and a component of null ids only is null.
     An empty table gives an empty result. Other columns are not read.
     """
-    made = settled(fingerprints(docs, words))
-    firsts = settled(made.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(firsts.select("fp"), bits))
-    named = firsts.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    made, named = _grouped(docs, words, bits)
+    lowest = named.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
     by_fp = named.join(lowest, "root").select("fp", "component_id")
     return made.join(by_fp, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
@@ -213,16 +223,21 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> Da
 def keep_one(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
     """The rows of ``docs`` that stay: of each group the one with the smallest doc_id.
 
-    Rows repeated under that id stay once (the first by text); rows without an id form no group
-    with a name and all stay. The columns are those of ``docs``.
+    Where rows share an id, the hash of their text tells them apart: only rows of one group replace
+    each other. Rows repeated in id and text stay once; rows without an id all stay. An empty table
+    stays empty. Texts are read as in ``near_duplicates``; the columns, whatever their names, are
+    those of ``docs``.
     """
-    groups = near_duplicates(docs, words, bits)
-    chosen = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(chosen, F.col("doc_id") == F.col("__keep"), "left_semi")
-    row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), whole()).alias("__row")
-    once = kept.groupBy(F.col("doc_id").alias("__id")).agg(row)
-    out = once.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
-    return out.union(docs.where("doc_id is null"))
+    _, named = _grouped(docs, words, bits)
+    chosen = named.groupBy("root").agg(F.min("first").alias("first")).select("first.*").dropna()
+    whole_row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(
+        whole_row.alias("row"), F.col("doc_id").cast("bigint").alias("id"), text_key(whole()).alias("text_hash")
+    )
+    same = (F.col("id") == F.col("doc_id")) & (F.col("text_hash") == F.col("key"))
+    once = rows.join(chosen, same, "left_semi").groupBy("id", "text_hash").agg(F.first("row").alias("row"))
+    kept = once.select("row").union(rows.where("id is null").select("row"))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
