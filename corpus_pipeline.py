@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import mixing, near, packing, pii, toxicity
+from ledgerlens.llm import mixing, packing, pii, simhash, toxicity
 from ledgerlens.llm.common import shared_folder, table
 
 
@@ -21,8 +21,9 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (0.8 of shingles of five words) the document with the smallest id."""
-    return near.keep_one(docs)
+    """Of each group of near copies (fingerprints linked at 4 bits or fewer, shingles of four words)
+    the document with the smallest id."""
+    return simhash.keep_one(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
