@@ -1254,6 +1254,50 @@ WHERE rn = 1"""
 SQL["stream_dedup"] = """
 SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d') AS dia FROM events"""
 
+_order = "o_orderkey, o_custkey, o_orderstatus, {price} AS o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority, {year} AS ano"
+_order_images = {
+    "old": _order.format(price="o_totalprice", year="year(o_orderdate)"),
+    "corrected": _order.format(price="CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 1 AS DOUBLE)", year="year(o_orderdate)"),
+    "moved": _order.format(price="o_totalprice", year="year(o_orderdate) + 1"),
+}
+_orders_now = f"""
+SELECT {_order_images['moved']} FROM orders WHERE o_orderstatus = 'P'
+UNION ALL SELECT {_order_images['corrected']} FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT'
+UNION ALL SELECT {_order_images['old']} FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority <> '1-URGENT'"""
+SQL["versioned_table"] = _orders_now
+SQL["change_feed_replay"] = _orders_now
+SQL["version_snapshot"] = f"""
+SELECT {_order_images['corrected']} FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT {_order_images['old']} FROM orders WHERE o_orderstatus <> 'F'"""
+SQL["change_feed"] = " UNION ALL ".join(
+    f"SELECT {_order_images[image]}, {q(kind)} AS _change, CAST({version} AS BIGINT) AS _version FROM orders WHERE {rows}"
+    for image, kind, version, rows in (
+        ("old", "update_before", 2, "o_orderstatus = 'F'"),
+        ("corrected", "update_after", 2, "o_orderstatus = 'F'"),
+        ("old", "insert", 2, "o_orderstatus = 'P'"),
+        ("old", "update_before", 3, "o_orderstatus = 'P'"),
+        ("moved", "update_after", 3, "o_orderstatus = 'P'"),
+        ("corrected", "delete", 3, "o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"),
+        ("old", "delete", 3, "o_orderstatus = 'O' AND o_orderpriority = '1-URGENT'"),
+    )
+)
+
+
+def _after_batches(query: str) -> str:
+    """A query over the documents as the batches of the incremental marts leave them."""
+    price = "l.l_extendedprice * CASE WHEN l_returnflag = 'A' THEN 2 ELSE 1 END"
+    joined = "ON l.l_orderkey = o.o_orderkey)"
+    left = f"""{joined[:-1]} WHERE l_linenumber <> 7
+        QUALIFY row_number() OVER (PARTITION BY l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey
+          ORDER BY l_returnflag = 'N', {price} DESC, l_discount DESC) = 1)"""
+    before = "CAST(l.l_extendedprice AS DECIMAL(12,2)) *"
+    return query.replace(before, f"CAST({price} AS DECIMAL(12,2)) *").replace(joined, left, 1)
+
+
+SQL["incremental_spending"] = _after_batches(SQL["spend_by_entity_quota"])
+SQL["incremental_ranking"] = _after_batches(SQL["spend_ranking"])
+SQL["stream_two_way_dedup"] = SQL["stream_dedup"]
+
 # --- data quality -----------------------------------------------------------------------
 
 SQL["dq_unique"] = """

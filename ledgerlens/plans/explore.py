@@ -83,6 +83,11 @@ def spend_ranking(expenses: DataFrame, at_least_years: int = 2) -> DataFrame:
             ratio(F.sum("valor_liquido"), F.count("valor_liquido")).alias("valor_medio_despesa"),
         )
     )
+    return ranked_spenders(yearly, at_least_years)
+
+
+def ranked_spenders(yearly: DataFrame, at_least_years: int = 2) -> DataFrame:
+    """The ranking out of one row per person and year: documents, amount and mean document."""
     total = F.sum("valor_total_liquido")
     people = yearly.groupBy("deputado_id").agg(
         total.alias("total_gasto_periodo"),

@@ -34,6 +34,13 @@ PERSON = (
     "condicao_eleitoral", "situacao",
 )
 
+VERSION = ("nk_deputado", "sk_deputado")
+# result column, and the value band it sums
+SPENDING_BANDS = {
+    "gastos_valor_alto": "ALTO", "gastos_valor_medio": "MEDIO",
+    "gastos_valor_baixo": "BAIXO", "gastos_valor_muito_alto": "MUITO_ALTO",
+}
+
 
 def _exact(c: str | Column) -> Column:
     """A rounded measure as a decimal, so that averages over it are exact."""
@@ -54,34 +61,43 @@ def spend_per_person(
     merged per (version, document, month), which spreads a person with very many documents over
     tasks, then per month, where a document counts in its first one, then per version.
     """
-    keys = versions.select("nk_deputado", "sk_deputado", "valid_from", "valid_to")
-    joined = with_versions(
-        facts.where(F.col("valor_documento") > 0), keys, "nk_deputado", "data_documento",
-        "inner" if require_version else "left",
-    )
+    joined = spending_lines(facts, versions, require_version)
     amount = F.col("valor_documento")
-    bands = {
-        "gastos_valor_alto": "ALTO", "gastos_valor_medio": "MEDIO",
-        "gastos_valor_baixo": "BAIXO", "gastos_valor_muito_alto": "MUITO_ALTO",
-    }
-    joined = joined.withColumn(
-        "sk_deputado", key_or_placeholder("sk_deputado", "nk_deputado", MISSING_PERSON)
-    )
-    version = ["nk_deputado", "sk_deputado"]
-    merged = joined.groupBy(
-        *version, "cod_documento", dates.month_index("ano", "mes").alias("_month")
-    ).agg(
+    merged = joined.groupBy(*VERSION, "cod_documento", "_month").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.sum(amount).alias("_doc"),
         F.sum("valor_liquido").alias("_net"),
         F.sum("valor_glosa").alias("_cut"),
         *[
             sum_where(F.col("faixa_valor") == label, amount, 0).alias(name)
-            for name, label in bands.items()
+            for name, label in SPENDING_BANDS.items()
         ],
         F.min("data_documento").alias("_first"),
         F.max("data_documento").alias("_last"),
     )
+    return spending_of_documents(merged, versions, quota)
+
+
+def spending_lines(facts: DataFrame, versions: DataFrame, require_version: bool = False) -> DataFrame:
+    """Documents with a positive amount beside the key of their person version and their month."""
+    keys = versions.select("nk_deputado", "sk_deputado", "valid_from", "valid_to")
+    joined = with_versions(
+        facts.where(F.col("valor_documento") > 0), keys, "nk_deputado", "data_documento",
+        "inner" if require_version else "left",
+    )
+    return joined.withColumns(
+        {
+            "sk_deputado": key_or_placeholder("sk_deputado", "nk_deputado", MISSING_PERSON),
+            "_month": dates.month_index("ano", "mes"),
+        }
+    )
+
+
+def spending_of_documents(
+    merged: DataFrame, versions: DataFrame, quota: float = rules.MONTHLY_QUOTA
+) -> DataFrame:
+    """Spending per person version out of one row per version, document and month."""
+    version, bands = list(VERSION), SPENDING_BANDS
     nth = F.row_number().over(Window.partitionBy(*version, "cod_documento").orderBy("_month"))
     monthly = merged.withColumn("_nth", nth).groupBy(*version, "_month").agg(
         count_where((F.col("_nth") == 1) & F.col("cod_documento").isNotNull()).alias("_docs"),

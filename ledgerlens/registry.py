@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 
 from ledgerlens import adapters as a
 from ledgerlens.functions import dates, keys, numeric, rules, text
-from ledgerlens.operators import aggregates, history, joins, quality, rows, upsert, windows
+from ledgerlens.operators import aggregates, history, joins, quality, rows, upsert, versioned, windows
 from ledgerlens.operators.lineage import materialize, new_path
 from ledgerlens.operators.ordered import group_median
-from ledgerlens.plans import analyses, dimensions, explore, facts, marts, person, staging
+from ledgerlens.plans import analyses, dimensions, explore, facts, incremental, marts, person, staging
 from ledgerlens.sources import periods, readers, writers
 from ledgerlens.streaming import merge as streams
 
@@ -781,6 +781,128 @@ def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(events.schema).parquet(path).select("user_id", "event_type", "dia")
 
 
+def _order_batches(spark: SparkSession, d: str) -> list[tuple[DataFrame, DataFrame | None]]:
+    """Three batches over all orders: open and finished ones; finished ones with another price and
+    the pending ones; pending ones a year later, while urgent orders go."""
+    orders = a.table(spark, d, "orders").withColumns(
+        {"o_totalprice": F.col("o_totalprice").cast("decimal(12,2)"), "ano": F.year("o_orderdate")}
+    )
+    status = F.col("o_orderstatus")
+    corrected = orders.where(status == "F").withColumn("o_totalprice", (F.col("o_totalprice") + 1).cast("decimal(12,2)"))
+    moved = orders.where(status == "P").withColumn("ano", F.col("ano") + 1)
+    return [
+        (orders.where(status != "P"), None),
+        (corrected.unionByName(orders.where(status == "P")), None),
+        (moved, orders.where((F.col("o_orderpriority") == "1-URGENT") & (status != "P")).select("o_orderkey")),
+    ]
+
+
+def _order_versions(spark: SparkSession, d: str) -> tuple[str, T.StructType]:
+    path, schema = new_path(spark, "orders"), None
+    for batch, gone in _order_batches(spark, d):
+        schema = batch.schema
+        versioned.commit(spark, path, batch, ["o_orderkey"], ["ano"], deletes=gone)
+    return path, schema
+
+
+@query
+def versioned_table(spark: SparkSession, d: str) -> DataFrame:
+    """Orders after inserts, corrections, moves to another period and deletions, by key."""
+    path, schema = _order_versions(spark, d)
+    return versioned.read(spark, path, schema, ["ano"])
+
+
+@query
+def version_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """The same table as it was after its second batch, read when the third is done."""
+    path, schema = _order_versions(spark, d)
+    return versioned.read(spark, path, schema, ["ano"], version=2)
+
+
+@query
+def change_feed(spark: SparkSession, d: str) -> DataFrame:
+    """Rows changed since the first version, before and after."""
+    path, schema = _order_versions(spark, d)
+    return versioned.changes(spark, path, schema, since=1)
+
+
+@query
+def change_feed_replay(spark: SparkSession, d: str) -> DataFrame:
+    """The table rebuilt from its feed alone."""
+    path, schema = _order_versions(spark, d)
+    return versioned.replayed(versioned.changes(spark, path, schema), ["o_orderkey"])
+
+
+def _document_batches(spark: SparkSession, d: str) -> list[tuple[DataFrame, DataFrame | None]]:
+    """Three batches over all documents: those not refunded; the refunded ones, and those without an
+    address with twice the amounts; the seventh lines of all documents go."""
+    docs = a.expenses(spark, d)
+    doubled = {c: (F.col(c) * 2).cast("decimal(18,6)") for c in ("valor_documento", "valor_glosa", "valor_liquido")}
+    return [
+        (docs.where(F.col("num_ressarcimento").isNull()), None),
+        (
+            docs.where(F.col("num_ressarcimento").isNotNull()).unionByName(
+                docs.where(F.col("url_documento").isNull()).withColumns(doubled)
+            ),
+            None,
+        ),
+        (docs.limit(0), docs.where(F.col("parcela") == 7)),
+    ]
+
+
+def _commit_documents(spark: SparkSession, table: str, batch: DataFrame, gone: DataFrame | None) -> DataFrame:
+    """The rows that one batch changes; of several rows of a document and part the largest counts."""
+    key = ["cod_documento", "cod_lote", "cnpj_cpf_fornecedor"]
+    largest = [F.col("valor_documento").desc(), F.col("valor_glosa").desc()]
+    now = versioned.commit(spark, table, batch, key, order_by=largest, deletes=gone)
+    return versioned.changes(spark, table, batch.schema, now - 1, now)
+
+
+@query
+def incremental_spending(spark: SparkSession, d: str) -> DataFrame:
+    """Spending per person version kept up to date through corrections and deletions."""
+    people = a.deputy_versions(spark, d)
+    table, totals, like = new_path(spark, "documents"), new_path(spark, "totals"), None
+    for batch, gone in _document_batches(spark, d):
+        like = incremental.spending_lines(_commit_documents(spark, table, batch, gone), people)
+        incremental.SPENDING.apply(spark, totals, like)
+    return incremental.spending(incremental.SPENDING.read(spark, totals, like), people)
+
+
+@query
+def incremental_ranking(spark: SparkSession, d: str) -> DataFrame:
+    """Ranking of spenders kept up to date through corrections and deletions."""
+    table, totals, like = new_path(spark, "documents"), new_path(spark, "totals"), None
+    for batch, gone in _document_batches(spark, d):
+        like = incremental.yearly_lines(_commit_documents(spark, table, batch, gone))
+        incremental.YEARLY.apply(spark, totals, like)
+    return incremental.ranking(incremental.YEARLY.read(spark, totals, like))
+
+
+@query
+def stream_two_way_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Unique (person, type, day) of a stream in which errors of each week arrive a file late, and
+    purchases twice, the second time at the end; the query is stopped and started in between."""
+    events = a.table(spark, d, "events").select(
+        "user_id", "event_type", F.date_trunc("day", F.col("ts").cast("timestamp")).alias("dia")
+    )
+    week = F.floor((F.dayofmonth("dia") - 1) / 7)
+    error, folder = F.col("event_type") == "error", new_path(spark, "arrivals")
+    path, offsets = new_path(spark, "unique"), new_path(spark, "offsets")
+    for arrivals in ((0, 1, 2), (3, 4, 5, 6)):
+        for n in arrivals:
+            rows = events.where(((week == n) & ~error) | ((week == n - 2) & error))
+            if n == 6:
+                rows = rows.unionByName(events.where(F.col("event_type") == "purchase"))
+            rows.coalesce(1).write.mode("append").parquet(folder)
+        stream = streams.arriving_files(spark, folder, events.schema, files_per_batch=1)
+        run = streams.unique_two_ways(
+            stream, path, offsets, ["user_id", "event_type", "dia"], "dia", "3 days"
+        )
+        run.awaitTermination()
+    return streams.unique_rows(spark, path, events.schema).withColumn("dia", F.date_format("dia", "yyyy-MM-dd"))
+
+
 @query
 def full_refresh_audit(spark: SparkSession, d: str) -> DataFrame:
     """A table of half years refreshed with whole years: rows per period before and after."""
