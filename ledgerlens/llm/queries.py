@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.llm import manifest, middle, passages
 from ledgerlens.llm.merkle import op10_merkle
 from ledgerlens.llm.mixing import op6_mixing
 from ledgerlens.llm.neighbours import op9_neighbours
@@ -28,6 +29,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_neighbours": op9_neighbours,
     "op10_merkle": op10_merkle,
+    "op11_manifest": manifest.op11_manifest,
+    "op12_passages": passages.op12_passages,
+    "op13_middle": middle.op13_middle,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_manifest": manifest.ORACLE,
+    "op12_passages": passages.ORACLE,
+    "op13_middle": middle.ORACLE,
+}
