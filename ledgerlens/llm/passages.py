@@ -12,8 +12,9 @@ corpus. So shards are cut by content, and each holds whatever could match anythi
    anchors. Only anchors that occur twice matter; they are found by counting hashes.
 2. Consecutive windows of one anchor form a stretch of at most 32 words. Equal stretches of one
    anchor stand for the first of them: the others start later as a whole.
-3. Different stretches of one anchor may share windows. All of them go to one shard, are indexed
-   there and streamed through the index.
+3. Different stretches of one anchor may share windows, and one whose anchor stands in it twice may
+   repeat itself. All of these of one anchor go to one shard, are indexed there and streamed
+   through the index.
 4. An anchor with more than ``WIDE`` different stretches, such as a frequent phrase in ever new
    surroundings, does not fit there. Its windows become stretches of their own, dealt by their
    content, for which step 2 answers.
@@ -117,6 +118,16 @@ class Runs:
         self.n = np.diff(np.append(first, len(start)))
         self.owner = np.searchsorted(ends, self.start, side="right")
 
+    def restless(self) -> np.ndarray:
+        """Anchors that stand twice within a window's reach: a run of theirs may repeat itself."""
+        if not self.hashes:
+            return self.anchor
+        gram = self.hashes[GRAM]
+        again = np.zeros(len(gram), bool)
+        for k in range(1, WIDTH):
+            again[k:] |= gram[k:] == gram[:-k]
+        return np.unique(gram[again])
+
     def stretch(self, which: np.ndarray) -> np.ndarray:
         """Hash of all words of some runs."""
         sixteen, start, size = self.hashes[16], self.start[which], self.n[which] + LENGTH - 1
@@ -206,9 +217,9 @@ def _anchors(buckets: int):
         def rows() -> Iterator[tuple]:
             for part in parts:
                 for block, sizes, body in zip(part["block"], part["sizes"], part["body"], strict=True):
-                    value, times = np.unique(
-                        Runs(*_hashed(_bodies(sizes, body), known)).anchor >> _LOW, return_counts=True
-                    )
+                    runs = Runs(*_hashed(_bodies(sizes, body), known))
+                    value, times = np.unique(runs.anchor >> _LOW, return_counts=True)
+                    times[np.isin(value, runs.restless() >> _LOW)] = 2
                     value = np.repeat(value, np.minimum(times, 2))
                     bucket = (value % np.uint64(buckets)).astype(np.int64)
                     order = np.argsort(bucket, kind="stable")
@@ -242,7 +253,7 @@ def _repeated(part: pd.DataFrame) -> pd.DataFrame:
 
 # --- runs that may match --------------------------------------------------------------------
 
-_RUNS = "first boolean, anchor bigint, stretch bigint, doc bigint, key bigint, start bigint, n bigint, block bigint, at int"
+_RUNS = "first boolean, restless boolean, anchor bigint, stretch bigint, doc bigint, key bigint, start bigint, n bigint, block bigint, at int"
 
 
 def _candidates(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -266,6 +277,7 @@ def _candidates(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             owner = runs.owner[which]
             t = {
+                "restless": np.isin(runs.anchor[which], runs.restless()),
                 "anchor": runs.anchor[which].view(np.int64), "stretch": runs.stretch(which).view(np.int64),
                 "doc": docs[owner], "key": keys[owner], "start": runs.start[which] - runs.begins[owner],
                 "n": runs.n[which], "block": np.full(len(which), block), "at": owner.astype(np.int32),
@@ -513,13 +525,15 @@ def _windows(blocks: DataFrame, wide: int = WIDE, shard_words: int = SHARD_WORDS
     place = F.struct("doc", "key", "start")
     firsts = stored(
         runs.where("first").groupBy("anchor", "stretch").agg(
-            F.min(F.struct("doc", "key", "start", "n", "block", "at")).alias("least"), F.count(F.lit(1)).alias("times")
+            F.min(F.struct("doc", "key", "start", "n", "block", "at")).alias("least"), F.count(F.lit(1)).alias("times"),
+            F.max("restless").alias("restless"),
         ),
         "firsts",
     )
     several = firsts.where("times > 1").select("anchor", "stretch", F.struct("least.doc", "least.key", "least.start").alias("least"))
     later = runs.where("first").join(several, ["anchor", "stretch"]).where(place != F.col("least"))
-    kinds = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    kinds = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.max("restless").alias("restless"))
+    kinds = kinds.where("kinds > 1 or restless").select("anchor", "kinds")
     found = firsts.select("anchor", "least.*").join(kinds, "anchor").groupBy("block").agg(
         F.collect_list(F.struct("at", "anchor", "start", "n", (F.col("kinds") > wide).alias("wide"))).alias("found")
     )  # at most a block's words

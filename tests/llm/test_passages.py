@@ -87,6 +87,9 @@ def _rows():
     rows += [(1000 + i, " ".join(x if r.random() > 0.02 else "odd" for x in near)) for i in range(12)]
     rows += [(2000 + i, " ".join(near)) for i in range(9)]
     rows += [(7, None), (8, ""), (10, "same " * 3000), (11, "same " * 30), (None, " ".join(passage)), (13, "é中\xa0x " * 40)]
+    for i in range(12):  # texts that repeat themselves, at all distances
+        unit = fresh(i + 1)
+        rows.append((3000 + i, " ".join((fresh(5) + unit * (60 // len(unit)))[: 45 + i] + fresh(i))))
     return rows + [rows[0], rows[0], (14, " ".join(fresh(30000))), (16, "a b " * 9 + "a b")]
 
 
