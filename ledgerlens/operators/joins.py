@@ -48,32 +48,6 @@ def version_join(
     return left.join(right, match, how).drop("_year", "_v_year", *[f"_v_{k}" for k in on])
 
 
-def range_join(
-    points: DataFrame,
-    ranges: DataFrame,
-    at: str,
-    start: str,
-    end: str,
-    how: str = "left",
-) -> DataFrame:
-    """Match dates with the inclusive ranges that cover them, without a nested-loop join.
-
-    Every range is spread over the calendar years it touches and joined on the year. A range
-    with a NULL end is open: it is spread up to the year of the latest point.
-    """
-    latest = points.agg(F.max(F.to_date(at)).alias("_latest")).scalar()
-    opened = ranges.select("*", latest.alias("_latest"))
-    last = F.greatest(F.year(F.coalesce(F.to_date(end), F.col("_latest"))), F.year(start))
-    years = F.sequence(F.year(start), last)
-    right = opened.withColumn("_range_year", F.explode(years)).drop("_latest")
-    match = (
-        (F.year(at) == F.col("_range_year"))
-        & (F.col(at) >= F.col(start))
-        & (F.col(end).isNull() | (F.col(at) <= F.col(end)))
-    )
-    return points.join(right, match, how).drop("_range_year")
-
-
 def not_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not among the keys of ``other``.
 

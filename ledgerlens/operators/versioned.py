@@ -188,9 +188,8 @@ def _folder(spark: SparkSession, names: Sequence[str], values: Row) -> str:
 
 
 def _index(rows: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
-    """Key hashes in order, so that a file holds a narrow range of them."""
-    slim = rows.select(F.xxhash64(*keys).alias(_HASH), *partition_by)
-    return slim.distinct().repartitionByRange(_HASH).sortWithinPartitions(_HASH)
+    """Hash of every key beside its period."""
+    return rows.select(F.xxhash64(*keys).alias(_HASH), *partition_by).distinct()
 
 
 def _indexed(spark: SparkSession, path: str, last: int) -> list[str]:

@@ -1294,6 +1294,46 @@ def _after_batches(query: str) -> str:
     return query.replace(before, f"CAST({price} AS DECIMAL(12,2)) *").replace(joined, left, 1)
 
 
+_terms = ", ".join(f"({n}, DATE '{lo}', DATE '{hi}')" for n, lo, hi, _ in TERMS)
+SQL["version_term_overlaps"] = sql("ver", f"""
+SELECT k AS nk_deputado, party AS sigla_partido, CAST(CAST(t0 AS DATE) AS VARCHAR) AS de, CAST(n AS BIGINT) AS "idLegislatura",
+  {big("date_diff('day', greatest(CAST(t0 AS DATE), lo), least(coalesce(CAST(t1 AS DATE), hi), hi)) + 1")} AS dias
+FROM ver JOIN (VALUES {_terms}) AS term(n, lo, hi)
+  ON CAST(t0 AS DATE) <= hi AND (t1 IS NULL OR CAST(t1 AS DATE) >= lo)""")
+SQL["documents_in_versions"] = sql("docs ver", f"""
+SELECT deputado_id, party AS sigla_partido, {txt('t0')} AS valid_from, count(*) AS documentos, {dbl('sum(doc - cut)')} AS valor
+FROM docs LEFT JOIN ver ON deputado_id = k AND quando >= t0 AND (t1 IS NULL OR quando < t1) GROUP BY 1, 2, 3""")
+SQL["scd2_stream"] = SQL["scd2_history"]
+SQL["distinct_by_sketch"] = sql("exp", """
+SELECT uf AS sigla_uf, count(DISTINCT deputado_id) AS deputado_id, count(DISTINCT cnpj) AS cnpj_cpf_fornecedor,
+  count(DISTINCT cod_documento) AS cod_documento, TRUE AS deputado_id_dentro, TRUE AS cnpj_cpf_fornecedor_dentro,
+  TRUE AS cod_documento_dentro FROM exp WHERE ano BETWEEN 2020 AND 2024 GROUP BY uf""")
+SQL["common_suppliers_by_sketch"] = sql("exp", """
+SELECT uf AS sigla_uf, count(*) FILTER (anos = 2) AS comuns, TRUE AS dentro FROM (
+  SELECT uf, cnpj, count(DISTINCT ano) AS anos FROM exp WHERE ano IN (2020, 2021) GROUP BY uf, cnpj)
+GROUP BY uf HAVING uf IN (SELECT uf FROM exp WHERE ano = 2020) AND uf IN (SELECT uf FROM exp WHERE ano = 2021)""")
+SQL["quantiles_by_sketch"] = sql("exp", """
+SELECT uf AS sigla_uf, count(*) AS documentos, TRUE AS mediana_dentro, TRUE AS decil_dentro FROM exp GROUP BY uf""")
+SQL["heavy_suppliers"] = """
+SELECT CAST(l_suppkey AS VARCHAR) AS cnpj_cpf_fornecedor, count(*) AS ocorrencias
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""
+SQL["variant_fields"] = """
+SELECT event_id, CASE event_type WHEN 'signup' THEN 1.0 WHEN 'purchase' THEN floor(value) ELSE value END AS valor,
+  CASE WHEN event_type <> 'signup' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS data_hora FROM events"""
+SQL["variant_drift"] = """
+WITH t AS (
+  SELECT '$.event_id' AS caminho, CASE event_type WHEN 'click' THEN 'STRING' ELSE 'BIGINT' END AS tipo, 'BIGINT' AS e FROM events
+  UNION ALL SELECT '$.valor', CASE event_type WHEN 'click' THEN 'STRING' WHEN 'error' THEN 'AUSENTE'
+    WHEN 'signup' THEN 'BOOLEAN' ELSE 'NUMERO' END, 'NUMERO' FROM events
+  UNION ALL SELECT '$.corpo.data', CASE WHEN event_type IN ('error', 'purchase') THEN 'AUSENTE' ELSE 'STRING' END, 'STRING' FROM events
+  UNION ALL SELECT '$.corpo.status.data', CASE event_type WHEN 'error' THEN 'STRING' ELSE 'AUSENTE' END, 'AUSENTE' FROM events)
+SELECT caminho, tipo, tipo = e AS conforme, count(*) AS linhas FROM t GROUP BY 1, 2, 3"""
+SQL["checked_load"] = """
+SELECT l_returnflag, count(*) AS linhas, CAST(NULL AS VARCHAR) AS regra FROM lineitem
+WHERE l_returnflag IN ('N', 'A') AND l_quantity < 49 AND l_discount <= 0.1 GROUP BY 1
+UNION ALL SELECT l_returnflag, count(*), 'quantidade' FROM lineitem
+WHERE l_quantity >= CASE WHEN l_returnflag = 'R' THEN 25 ELSE 49 END GROUP BY 1
+UNION ALL SELECT l_returnflag, count(*), 'desconto' FROM lineitem WHERE l_discount > 0.1 GROUP BY 1"""
 SQL["incremental_spending"] = _after_batches(SQL["spend_by_entity_quota"])
 SQL["incremental_ranking"] = _after_batches(SQL["spend_ranking"])
 SQL["stream_two_way_dedup"] = SQL["stream_dedup"]

@@ -9,7 +9,7 @@ from ledgerlens.functions import dates
 from ledgerlens.functions.keys import surrogate_key
 from ledgerlens.functions.rules import classify
 from ledgerlens.operators.history import prefer_first, scd2_build, version_flags
-from ledgerlens.operators.joins import range_join
+from ledgerlens.operators.intervals import range_join
 from ledgerlens.operators.ordered import ordered_prefix
 from ledgerlens.operators.windows import mode_of
 

@@ -11,11 +11,14 @@ from pyspark.sql import types as T
 
 from ledgerlens import adapters as a
 from ledgerlens.functions import dates, keys, numeric, rules, text
-from ledgerlens.operators import aggregates, history, joins, quality, rows, upsert, versioned, windows
+from ledgerlens.operators import (
+    aggregates, history, intervals, joins, quality, rows, sketches, upsert, versioned, windows,
+)
 from ledgerlens.operators.lineage import materialize, new_path
 from ledgerlens.operators.ordered import group_median
 from ledgerlens.plans import analyses, dimensions, explore, facts, incremental, marts, person, staging
-from ledgerlens.sources import periods, readers, writers
+from ledgerlens.sources import checked, periods, readers, variants, writers
+from ledgerlens.streaming import histories
 from ledgerlens.streaming import merge as streams
 
 AS_OF = "2025-12-31"
@@ -253,13 +256,16 @@ def calendar_terms(spark: SparkSession, d: str) -> DataFrame:
     """Calendar over the span of the documents with the covering term and documents per day."""
     orders = a.table(spark, d, "orders").select(F.expr("date(o_orderdate + INTERVAL '24' YEAR)").alias("data"))
     lo, hi = orders.agg(F.min("data"), F.max("data")).first()
-    terms = spark.createDataFrame(TERMS, "idLegislatura int, dataInicio string, dataFim string, anoEleicao int")
-    terms = terms.withColumns({c: F.col(c).cast("date") for c in ("dataInicio", "dataFim")})
-    days = dimensions.calendar_with_terms(dimensions.calendar(spark, str(lo), str(hi)), terms)
+    days = dimensions.calendar_with_terms(dimensions.calendar(spark, str(lo), str(hi)), _terms(spark))
     daily = orders.groupBy("data").agg(F.count(F.lit(1)).alias("n"))
     return days.join(daily, "data", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
+def _terms(spark: SparkSession) -> DataFrame:
+    terms = spark.createDataFrame(TERMS, "idLegislatura int, dataInicio string, dataFim string, anoEleicao int")
+    return terms.withColumns({c: F.col(c).cast("date") for c in ("dataInicio", "dataFim")})
+
+
 # The legislative terms that the documents fall into.
 TERMS = [
     (55, "2015-02-01", "2019-01-31", 2014),
@@ -400,6 +406,53 @@ def status_listing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def version_term_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    """Days that every person version shares with every legislative term it reaches into."""
+    versions = a.deputy_versions(spark, d).select(
+        "nk_deputado", "sigla_partido", F.to_date("valid_from").alias("de"), F.to_date("valid_to").alias("ate")
+    )
+    both = intervals.overlaps(versions, _terms(spark), ("de", "ate"), ("dataInicio", "dataFim"))
+    until = F.least(F.coalesce("ate", "dataFim"), F.col("dataFim"))
+    return both.select(
+        "nk_deputado", "sigla_partido", "de", "idLegislatura",
+        (F.datediff(until, F.greatest("de", "dataInicio")) + 1).alias("dias"),
+    )
+
+
+@query
+def documents_in_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Documents per person version, matched to the second by dyadic nodes of each person's time."""
+    docs = a.expenses(spark, d).select("deputado_id", "data_documento", "valor_liquido")
+    versions = a.deputy_versions(spark, d).select(
+        F.col("nk_deputado").alias("deputado_id"), "sigla_partido", "valid_from", "valid_to"
+    )
+    joined = intervals.range_join(
+        docs, versions, "data_documento", "valid_from", "valid_to", on=["deputado_id"], unit="second", closed=False
+    )
+    return joined.groupBy("deputado_id", "sigla_partido", "valid_from").agg(
+        F.count(F.lit(1)).alias("documentos"), F.sum("valor_liquido").alias("valor")
+    )
+
+
+@query
+def scd2_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The history kept while the log arrives in three files, the low priorities after all others."""
+    log = a.status_log(spark, d)
+    late = F.col("sigla_partido") == a.PARTY_OF_PRIORITY["5-LOW"]
+    newer = F.col("data_hora") >= F.expr("TIMESTAMP_NTZ'2023-01-01 00:00:00'")
+    folder, path = new_path(spark, "arrivals"), new_path(spark, "histories")
+    for rows_of_file in (~late & ~newer, ~late & newer, late):
+        log.where(rows_of_file).coalesce(1).write.mode("append").parquet(folder)
+    stream = streams.arriving_files(spark, folder, log.schema, files_per_batch=1)
+    run = histories.history_stream(
+        stream, path, new_path(spark, "offsets"), ["deputado_id"], "data_hora", ["sigla_partido"], ["mensagem"], 32
+    )
+    run.awaitTermination()
+    schema = history.scd2_build(log, ["deputado_id"], "data_hora", ["sigla_partido"]).schema
+    return histories.history(spark, path, schema).drop("mensagem")
+
+
 # --- facts ------------------------------------------------------------------------------
 
 
@@ -713,6 +766,81 @@ def party_list_per_year(spark: SparkSession, d: str) -> DataFrame:
     return aggregates.text_list(docs, ["ano", "sigla_uf"], "sigla_partido", "partidos")
 
 
+# --- measures that merge ----------------------------------------------------------------
+
+_COUNTED = ["deputado_id", "cnpj_cpf_fornecedor", "cod_documento"]
+
+
+def _stored_sketches(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    docs = a.expenses(spark, d, person=True)
+    return docs, materialize(sketches.distinct_sketches(docs, ["ano", "sigla_uf"], _COUNTED), "sketches")
+
+
+@query
+def distinct_by_sketch(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct persons, suppliers and documents per state over 2020 to 2024, out of yearly
+    sketches, each within the stated error of the exact count."""
+    docs, stored = _stored_sketches(spark, d)
+    span = F.col("ano").between(2020, 2024)
+    merged = sketches.merged_distinct(stored.where(span), ["sigla_uf"], _COUNTED)
+    estimates = merged.select("sigla_uf", *[sketches.distinct_count(c).alias(f"_{c}") for c in _COUNTED])
+    exact = docs.where(span).groupBy("sigla_uf").agg(*[F.count_distinct(c).alias(c) for c in _COUNTED])
+    return exact.join(estimates, "sigla_uf").select(
+        "sigla_uf", *_COUNTED, *[sketches.within(f"_{c}", c).alias(f"{c}_dentro") for c in _COUNTED]
+    )
+
+
+@query
+def common_suppliers_by_sketch(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers that a state paid both in 2020 and in 2021, out of stored sketches."""
+    docs, stored = _stored_sketches(spark, d)
+    supplier = "cnpj_cpf_fornecedor"
+    year = lambda y: stored.where(F.col("ano") == y).select("sigla_uf", F.col(supplier).alias(f"s{y}"))
+    both = year(2020).join(year(2021), "sigla_uf").select(
+        "sigla_uf", sketches.common_count("s2020", "s2021").alias("_comuns"),
+        sketches.distinct_count(F.theta_union("s2020", "s2021")).alias("_todos"),
+    )
+    pairs = docs.where(F.col("ano").isin(2020, 2021)).groupBy("sigla_uf", supplier).agg(
+        F.count_distinct("ano").alias("anos")
+    )
+    exact = pairs.groupBy("sigla_uf").agg(F.count_if(F.col("anos") == 2).alias("comuns"))
+    return exact.join(both, "sigla_uf").select(
+        "sigla_uf", "comuns", sketches.within("_comuns", "comuns", "_todos").alias("dentro")
+    )
+
+
+@query
+def quantiles_by_sketch(spark: SparkSession, d: str) -> DataFrame:
+    """Median and ninth decile of a state's documents out of yearly sketches: whether their true
+    rank, a span where values tie, is within the stated error."""
+    docs = a.expenses(spark, d, person=True)
+    stored = materialize(sketches.quantile_sketches(docs, ["ano", "sigla_uf"], "valor_liquido"), "sketches")
+    merged = sketches.merged_quantiles(stored, ["sigla_uf"])
+    found = merged.select(
+        "sigla_uf", sketches.quantile("sketch", 0.5).alias("_q5"), sketches.quantile("sketch", 0.9).alias("_q9")
+    )
+    value = F.col("valor_liquido").cast("double")
+    ranked = docs.join(found, "sigla_uf").groupBy("sigla_uf").agg(
+        F.count(F.lit(1)).alias("documentos"),
+        *[F.count_if(value < F.col(q)).alias(f"{q}_below") for q in ("_q5", "_q9")],
+        *[F.count_if(value <= F.col(q)).alias(f"{q}_upto") for q in ("_q5", "_q9")],
+    )
+
+    def close(q: str, share: float) -> F.Column:
+        n, slack = F.col("documentos"), sketches.KLL_ERROR
+        return (F.col(f"{q}_below") <= n * (share + slack)) & (F.col(f"{q}_upto") >= n * (share - slack))
+
+    return ranked.select(
+        "sigla_uf", "documentos", close("_q5", 0.5).alias("mediana_dentro"), close("_q9", 0.9).alias("decil_dentro")
+    )
+
+
+@query
+def heavy_suppliers(spark: SparkSession, d: str) -> DataFrame:
+    """The ten suppliers with the most documents, found without a count per supplier."""
+    return sketches.heavy_values(a.expenses(spark, d), "cnpj_cpf_fornecedor", 10)
+
+
 # --- loading ----------------------------------------------------------------------------
 
 
@@ -984,6 +1112,72 @@ def json_documents(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_json_documents(spark, source, wanted, whole_file=False).drop("arquivo")
 
 
+def _drifting(spark: SparkSession, d: str) -> DataFrame:
+    """Events as JSON text whose fields change type or move between levels by kind of event, landed
+    and read again."""
+    e = a.table(spark, d, "events").withColumn("quando", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    moment, value = F.col("quando"), F.col("value")
+    shapes = {
+        "view": F.struct("event_id", value.alias("valor"), F.struct(moment.alias("data")).alias("corpo")),
+        "click": F.struct(
+            F.col("event_id").cast("string").alias("event_id"), value.cast("string").alias("valor"),
+            F.struct(moment.alias("data")).alias("corpo"),
+        ),
+        "error": F.struct(
+            "event_id", F.struct(value.alias("valor"), F.struct(moment.alias("data")).alias("status")).alias("corpo")
+        ),
+        "signup": F.struct("event_id", F.lit(True).alias("valor"), F.struct(F.lit("n/d").alias("data")).alias("corpo")),
+        "purchase": F.struct("event_id", F.floor(value).alias("valor"), moment.alias("corpo")),
+    }
+    text = F.coalesce(*[F.when(F.col("event_type") == k, F.to_json(s)) for k, s in shapes.items()])
+    folder = new_path(spark, "json")
+    e.select(text.alias("value")).write.text(folder)
+    return variants.parsed(spark.read.text(folder), "value").drop("value")
+
+
+@query
+def variant_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Typed table out of such documents, with a safe timestamp from one, two or three levels."""
+    rows_ = variants.typed(
+        _drifting(spark, d), "documento",
+        {
+            "event_id": (["$.event_id"], "bigint"),
+            "valor": (["$.valor", "$.corpo.valor"], "double"),
+            "data_hora": (["$.corpo.status.data", "$.corpo.data", "$.corpo"], "timestamp_ntz"),
+        },
+    )
+    return rows_.withColumn("data_hora", F.date_format("data_hora", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query
+def variant_drift(spark: SparkSession, d: str) -> DataFrame:
+    """Types found per path against those expected."""
+    expected = {"$.event_id": "BIGINT", "$.valor": "DECIMAL|DOUBLE|BIGINT", "$.corpo.data": "STRING", "$.corpo.status.data": "AUSENTE"}
+    found = variants.drift(_drifting(spark, d), "documento", expected)
+    # a number with decimals may be written as whole one
+    numeric_ = F.when(F.col("tipo").isin("DECIMAL", "DOUBLE", "BIGINT") & (F.col("caminho") == "$.valor"), F.lit("NUMERO"))
+    return found.groupBy("caminho", F.coalesce(numeric_, F.col("tipo")).alias("tipo"), "conforme").agg(
+        F.sum("linhas").alias("linhas")
+    )
+
+
+@query
+def checked_load(spark: SparkSession, d: str) -> DataFrame:
+    """Lines loaded by return flag under a rule; the refunded ones break a stricter one too often to
+    be published. Rows that readers see, and rows in quarantine by rule."""
+    path = new_path(spark, "checked")
+    lines = a.table(spark, d, "lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_returnflag")
+    for flag, most in (("N", 49), ("R", 25), ("A", 49)):
+        checked.load(
+            lines.where(F.col("l_returnflag") == flag), path,
+            {"quantidade": F.col("l_quantity") < most, "desconto": F.col("l_discount") <= 0.1}, 0.2,
+        )
+    seen = checked.read(spark, path, lines.schema).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("linhas"))
+    bad = checked.quarantine(spark, path, lines.schema).select("l_returnflag", F.explode("_regras").alias("regra"))
+    counted = bad.groupBy("l_returnflag", "regra").agg(F.count(F.lit(1)).alias("linhas"))
+    return rows.union_padded(seen, counted)
+
+
 @query
 def coerced_rows(spark: SparkSession, d: str) -> DataFrame:
     """Text that is no number becomes NULL; source, load time and request stand beside each row."""

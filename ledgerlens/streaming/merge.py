@@ -161,7 +161,7 @@ def _unknown(
     spark: SparkSession, late: DataFrame, path: str, keys: Sequence[str], parts: Sequence[str], batch_id: int
 ) -> DataFrame:
     """Late rows whose key no earlier batch has written; reads only the folders they fall into."""
-    schema = late.schema.add(_BATCH, T.LongType())
+    schema = T.StructType([*late.schema.fields, T.StructField(_BATCH, T.LongType())])
     stored = spark.read.schema(schema).parquet(path).where(F.col(_BATCH) < batch_id)
     if parts:
         stored = stored.join(F.broadcast(late.select(*parts).distinct()), list(parts), "left_semi")

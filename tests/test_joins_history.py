@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import history, joins, windows
+from ledgerlens.operators import intervals, history, joins, windows
 
 DAY = datetime(2020, 1, 1)
 
@@ -49,7 +49,7 @@ def test_range_join_has_no_nested_loop(spark, rows):
     terms = spark.createDataFrame([(55, "2015-02-01", "2019-01-31"), (56, "2019-02-01", "2023-01-31")], "n int, a string, b string")
     days = days.withColumn("d", F.col("d").cast("date"))
     terms = terms.withColumns({c: F.col(c).cast("date") for c in "ab"})
-    got = joins.range_join(days, terms, "d", "a", "b")
+    got = intervals.range_join(days, terms, "d", "a", "b")
     assert "NestedLoop" not in got._jdf.queryExecution().toString()
     assert [n for _, n in rows(got.select(F.col("d").cast("string"), "n"))] == [None, 55, 56, 56]
 
@@ -142,5 +142,5 @@ def test_an_open_range_covers_every_later_day(spark):
         "select * from values (1, date'2019-01-01', date'2020-01-31'), (2, date'2020-02-01', null), "
         "(3, date'2030-01-01', null) as t(term, first, last)"
     )
-    got = joins.range_join(points, ranges, "day", "first", "last").groupBy("term").count().collect()
+    got = intervals.range_join(points, ranges, "day", "first", "last").groupBy("term").count().collect()
     assert {r["term"]: r["count"] for r in got} == {None: 2, 1: 396, 2: 367}
