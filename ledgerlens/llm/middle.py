@@ -24,6 +24,7 @@ from ledgerlens.llm.common import frames as tables
 from ledgerlens.llm.common import stored, table, whole
 
 FRAME = 8192
+SEGMENT = 16  # frames in a row of the stored table
 PLAIN_FROM = 90  # of 100 draws, those from here on leave the text as it is
 SPM_BELOW = 20  # of 100 draws, those below put the suffix first
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
@@ -31,7 +32,6 @@ MARKS = (PREFIX, SUFFIX, MIDDLE)
 
 _squeeze = zstandard.ZstdCompressor(level=1)
 _open = zstandard.ZstdDecompressor()
-EMPTY = _squeeze.compress(b"")
 
 
 def unit_starts(text: str, inside: bool = False) -> np.ndarray:
@@ -162,13 +162,17 @@ def _digest(pieces: Iterable[str]) -> str:
     return sha.hexdigest()
 
 
-_STORE = "row bigint, doc_id bigint, marked boolean, frame int, units int, chars int, inside boolean, body binary"
+_STORE = (
+    "row bigint, doc_id bigint, marked boolean, segment int, segments int, "
+    "units array<int>, chars array<int>, inside array<boolean>, bodies array<binary>"
+)
 
 
-def framed(docs: DataFrame, size: int = FRAME) -> DataFrame:
-    """The texts of ``docs`` as a stored table of frames; an empty text has one empty frame.
+def framed(docs: DataFrame, size: int = FRAME, per_row: int = SEGMENT) -> DataFrame:
+    """The texts of ``docs`` as a stored table of frames, at most ``per_row`` of them in a row.
 
-    ``row`` numbers the rows of ``docs`` in the one scan that writes the frames.
+    ``row`` numbers the rows of ``docs`` in the one scan that writes the frames; an empty text has
+    one row without frames.
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -177,15 +181,15 @@ def framed(docs: DataFrame, size: int = FRAME) -> DataFrame:
                 for row, doc, text in zip(part["row"], part["doc_id"], part["text"], strict=True):
                     doc = None if pd.isna(doc) else int(doc)
                     marked = any(m in text for m in MARKS)
-                    pieces = (text[i : i + size] for i in range(0, len(text), size))
-                    made = Frames.of(pieces, size)
-                    if not text:
-                        made.add(EMPTY, 0, 0, False)
-                    for k, body in enumerate(made.bodies):
-                        units, chars = made.units[k + 1] - made.units[k], made.chars[k + 1] - made.chars[k]
-                        yield row, doc, marked, k, units, chars, made.inside[k], body
-
-        for frame in tables([c.split()[0] for c in _STORE.split(", ")], rows()):
+                    made = Frames.of((text[i : i + size] for i in range(0, len(text), size)), size)
+                    units, chars = np.diff(made.units).tolist(), np.diff(made.chars).tolist()
+                    segments = max(1, -(-len(made.bodies) // per_row))
+                    for k in range(segments):
+                        some = slice(k * per_row, (k + 1) * per_row)
+                        yield row, doc, marked, k, segments, units[some], chars[some], made.inside[some], made.bodies[some]
+
+        names = [c.split()[0] for c in _STORE.split(", ")]
+        for frame in tables(names, rows(), 500):
             yield frame.astype({"doc_id": "Int64"})
 
     slim = docs.select(
@@ -195,18 +199,19 @@ def framed(docs: DataFrame, size: int = FRAME) -> DataFrame:
 
 
 def _documents(parts: Iterator[pd.DataFrame]) -> Iterator[tuple[int | None, bool, Frames]]:
-    """Documents out of frames that come sorted by (row, frame)."""
+    """Documents out of rows of frames that come sorted by (row, segment)."""
     now, doc, flag, held = None, None, False, Frames()
     for part in parts:
-        for row, doc_id, marked, units, chars, inside, body in zip(
-            *[part[c] for c in ("row", "doc_id", "marked", "units", "chars", "inside", "body")], strict=True
+        for row, doc_id, marked, *frames in zip(
+            *[part[c] for c in ("row", "doc_id", "marked", "bodies", "units", "chars", "inside")], strict=True
         ):
             if row != now:
                 if now is not None:
                     yield doc, flag, held
                 now, flag, held = row, bool(marked), Frames()
                 doc = None if pd.isna(doc_id) else int(doc_id)
-            held.add(body, units, chars, bool(inside))
+            for body, units, chars, inside in zip(*frames, strict=True):
+                held.add(body, int(units), int(chars), bool(inside))
     if now is not None:
         yield doc, flag, held
 
@@ -222,8 +227,11 @@ def _cuts(doc: int | None, marked: bool, text: Frames) -> tuple[int, str, int |
 
 
 def _by_row(docs: DataFrame, run, schema: str) -> DataFrame:
-    dealt = framed(docs).repartition("row").sortWithinPartitions("row", "frame")
-    return dealt.mapInPandas(run, schema)
+    """Run over the documents; only frames of texts that take several rows are shuffled."""
+    frames = framed(docs)
+    short, long = frames.where("segments = 1"), frames.where("segments > 1")
+    dealt = long.repartition("row").sortWithinPartitions("row", "segment")
+    return short.mapInPandas(run, schema).union(dealt.mapInPandas(run, schema))
 
 
 _PARTS = "doc_id bigint, n bigint, form string, part int, text string"

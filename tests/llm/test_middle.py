@@ -33,7 +33,7 @@ def _plain(doc, text):
 def _rows():
     r = random.Random(1)
     made = [(i, "".join(r.choice(["word", "Ab", " ", "\n", "é", "中", "<", "<S", "P>", "7", "😀"]) for _ in range(r.randrange(400)))) for i in range(300)]
-    made += [(400, None), (401, ""), (402, "x" * 100_000), (403, "a b" * 60_000), (404, "é" * 30_000), (None, "some text here"),
+    made += [(400, None), (401, ""), (402, "x" * 100_000), (403, "a b" * 160_000), (404, "é" * 30_000), (None, "some text here"),
              (405, "y" * 8190 + "<P>" + "z" * 10), (406, "y" * 8191 + "< P>" + "<"), (5, "other text, same id"), (7, made[7][1])]
     return made
 
