@@ -160,7 +160,7 @@ CTE = {
         FROM orders)""",
     "fvoto": f"""fvoto AS (
         SELECT v.id_votacao, v.k, v.voto, v.ts, d.sk, d.nome, d.partido, d.uf, d.condicao, a.dia,
-          a.aprovada, a.prop, b.tipo AS btipo, b.id IS NOT NULL AS tem_prop,
+          a.aprovada, a.prop, b.tipo AS btipo, b.ano0 AS bano, b.id IS NOT NULL AS tem_prop,
           nullif(o.linha, '') AS linha,
           CASE WHEN nullif(o.linha, '') IS NULL THEN 'SEM_ORIENTACAO'
                WHEN o.linha = 'LIBERADO' THEN 'VOTO_LIVRE'
@@ -223,10 +223,21 @@ SELECT CAST(o_custkey AS BIGINT) AS deputado_id, o_orderkey AS cod_documento,
   CAST(NULL AS BIGINT) AS parcela FROM orders"""
 
 SQL["period_landing"] = sql("docs", """
-SELECT ano, CAST(mes AS BIGINT) AS mes, count(*) AS antes,
-  CASE WHEN ano = 2020 AND mes <= 2 THEN count(*) FILTER (cod_documento % 10 = 1)
-       ELSE count(*) END AS depois
-FROM docs GROUP BY ano, mes""")
+SELECT ano, CAST(mes AS BIGINT) AS mes, count(*) FILTER (l_returnflag <> 'R') AS antes,
+  count(*) FILTER (l_returnflag <> 'R' OR (ano = 2020 AND mes <= 2)) AS depois,
+  count(*) FILTER (l_returnflag = 'R' AND ano = 2020 AND mes <= 2) AS diferenca FROM docs GROUP BY ano, mes""")
+SQL["timestamped_landing"] = sql("docs", """
+SELECT '20250101_030000' AS carga, ano, CAST(mes AS BIGINT) AS mes, count(*) AS linhas, CAST(1 AS BIGINT) AS arquivos
+FROM docs WHERE l_returnflag <> 'R' GROUP BY ano, mes
+UNION ALL SELECT '20250102_030000', ano, mes, count(*), 1 FROM docs GROUP BY ano, mes""")
+SQL["seed_table"] = """
+SELECT min(p_partkey) AS "codCategoria", p_type || '; parte' AS categoria, count(*) AS "codSubCategoria",
+  CASE WHEN p_type <> 'PROMO' THEN lower(p_type) END AS "subCategoria" FROM part GROUP BY p_type"""
+SQL["nested_rows_flatten"] = """
+SELECT page_id, url AS pagina_url, CAST(length(html) AS BIGINT) AS pagina_corpo_tamanho, md5(html) AS pagina_corpo_resumo FROM pages"""
+SQL["json_latest_merge"] = """
+SELECT o_orderkey AS id, o_custkey AS pessoa, 'S' AS situacao, strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d') AS dia,
+  year(o_orderdate) AS ano FROM orders"""
 
 SQL["rows_per_file"] = "SELECT 'lineitem' AS arquivo, count(*) AS linhas FROM lineitem"
 
@@ -462,7 +473,12 @@ SELECT {key('deputado_id', 'cod_documento', 'ano', 'mes')} AS sk_despesa, deputa
   {_quarter} AS trimestre, {dbl('doc')} AS valor_documento, {dbl('net')} AS valor_liquido,
   {dbl('cut')} AS valor_glosa, {pct0('cut', 'doc')} AS percentual_glosa, {_status} AS status_financeiro,
   {upto('net', rules.VALUE_CUTS, rules.VALUE_LABELS)} AS faixa_valor,
-  l_returnflag = 'R' AS tem_documento, l_returnflag = 'R' AS tem_ressarcimento
+  l_returnflag = 'R' AS tem_documento, l_returnflag = 'R' AS tem_ressarcimento, ano, CAST(mes AS BIGINT) AS mes,
+  CAST(l_linenumber % 3 AS BIGINT) AS cod_tipo_documento, {txt('quando')} AS data_documento,
+  l_orderkey || '/' || l_linenumber AS num_documento,
+  CASE WHEN l_returnflag = 'R' THEN CAST(l_orderkey AS VARCHAR) END AS num_ressarcimento,
+  CAST(l_linenumber AS BIGINT) AS parcela, l_linestatus AS tipo_documento,
+  CASE l_returnflag WHEN 'N' THEN ' ' WHEN 'R' THEN 'https://doc/' || l_orderkey END AS url_documento
 FROM exp""")
 
 _parties = lambda cond: f"string_agg(DISTINCT partido, ', ' ORDER BY partido) FILTER ({cond})"
@@ -493,7 +509,8 @@ SELECT {key('v.id_votacao')} AS sk_votacao, v.id_votacao AS nk_votacao, prop AS
     WHEN sim = nao THEN 'EMPATE' ELSE 'MAIORIA_CONTRA' END AS tipo_maioria,
   year(dia) AS ano, month(dia) AS mes, 'T' || quarter(dia) AS trimestre,
   b.id IS NOT NULL AS tem_proposicao_vinculada, coalesce(n, 0) > 0 AS tem_votos_detalhados,
-  coalesce(ob, 0) > 0 AS teve_obstrucao, coalesce(n, 0) >= 300 AS eh_votacao_expressiva
+  coalesce(ob, 0) > 0 AS teve_obstrucao, coalesce(n, 0) >= 300 AS eh_votacao_expressiva,
+  CAST(NULL AS VARCHAR) AS uri_evento, CAST(NULL AS VARCHAR) AS uri_orgao, CAST(NULL AS VARCHAR) AS proposicao_ementa_detalhada
 FROM v LEFT JOIN t USING (id_votacao) LEFT JOIN bill b ON b.id = prop""")
 
 SQL["vote_adherence"] = sql("fvoto", f"""
@@ -505,7 +522,12 @@ SELECT {key('id_votacao', 'k')} AS sk_voto_individual, id_votacao AS nk_votacao,
     WHEN voto = 'OBSTRUÇÃO' THEN 'OBSTRUCAO' ELSE 'OUTROS' END AS categoria_voto,
   year(dia) AS ano_votacao, month(dia) AS mes_votacao, 'T' || quarter(dia) AS trimestre_votacao,
   aprovada AS flag_votacao_aprovada, linha IS NOT NULL AS flag_tem_orientacao_partido,
-  tem_prop AS flag_tem_proposicao_vinculada
+  tem_prop AS flag_tem_proposicao_vinculada, sk AS sk_deputado, nome AS nome_deputado, uf AS sigla_uf,
+  condicao AS condicao_eleitoral, {txt('ts')} AS data_registro_voto, {txt('dia')} AS data_votacao,
+  upper('Votação ' || id_votacao) AS descricao_votacao, CAST(aprovada AS BIGINT) AS votacao_aprovada,
+  CAST(180 AS BIGINT) AS id_orgao, 'PLEN' AS sigla_orgao, btipo AS sigla_tipo_proposicao,
+  CASE WHEN tem_prop THEN prop END AS numero_proposicao, bano AS ano_proposicao,
+  CASE WHEN tem_prop THEN 'Ementa ' || prop END AS ementa
 FROM fvoto""")
 
 _bill_status = case([(like('texto', p), k) for k, p in rules.BILL_STATUS_PATTERNS], "'OUTROS'")
@@ -530,18 +552,16 @@ SELECT {key('b.id')} AS sk_proposicao, b.id AS nk_proposicao, tipo AS sigla_tipo
   CASE WHEN vo.n > 0 THEN 'COM_VOTACAO' ELSE 'SEM_VOTACAO' END AS status_votacao,
   b.id % 400 AS dias_tramitacao, ano1 AS ano_apresentacao, month(quando) AS mes_apresentacao,
   pk IS NOT NULL AS tem_deputado_proponente, coalesce(te.n, 0) > 0 AS tem_temas_classificados,
-  coalesce(vo.n, 0) > 0 AS foi_votada
+  coalesce(vo.n, 0) > 0 AS foi_votada, CAST(NULL AS VARCHAR) AS partido_proponente
 FROM bill b LEFT JOIN au ON au.id = b.id LEFT JOIN te ON te.id = b.id LEFT JOIN vo ON vo.prop = b.id""")
 
-SQL["bill_fact_per_author"] = sql("bill autor vota", f"""
-WITH au AS (SELECT id, k, count(*) AS n, count(*) FILTER (prim) AS np, max(k) FILTER (prim) AS pk
-    FROM autor GROUP BY id, k),
-  te AS (SELECT l_orderkey AS id, count(*) AS n FROM lineitem GROUP BY 1),
-  vo AS (SELECT prop, count(*) AS n FROM vota GROUP BY prop)
-SELECT {key('b.id', 'k')} AS sk_proposicao, b.id AS nk_proposicao, k AS nk_deputado,
-  coalesce(au.n, 0) AS total_autores, coalesce(np, 0) AS total_proponentes, pk AS deputado_proponente_id,
-  coalesce(te.n, 0) AS total_temas, coalesce(vo.n, 0) AS total_votacoes
-FROM bill b LEFT JOIN au ON au.id = b.id LEFT JOIN te ON te.id = b.id LEFT JOIN vo ON vo.prop = b.id""")
+SQL["bill_fact_per_author"] = (
+    SQL["bill_fact"]
+    .replace(key("b.id"), key("b.id", "au.k"))
+    .replace("pk AS nk_deputado", "au.k AS nk_deputado")
+    .replace("au AS (SELECT id, count(*)", "au AS (SELECT id, k, count(*)")
+    .replace("FROM autor GROUP BY id)", "FROM autor GROUP BY id, k)")
+)
 
 # --- marts ------------------------------------------------------------------------------
 
@@ -595,17 +615,16 @@ SQL["spend_on_person_pipeline"] = sql(
 )
 
 SQL["spend_vs_state_segment_avg"] = sql("exp ver dep", f"""
-WITH {_spend('JOIN')},
- p AS (SELECT h.*, dep.uf FROM h LEFT JOIN dep ON h.deputado_id = dep.k),
- u AS (SELECT uf, {avg('n')} AS mu, {avg('CAST(uso AS DECIMAL(18,4))')} AS cu FROM p GROUP BY uf),
- t AS (SELECT party, {avg('n')} AS mp, {avg('CAST(uso AS DECIMAL(18,4))')} AS cp FROM p GROUP BY party)
-SELECT sk AS sk_deputado, deputado_id, p.party AS sigla_partido, p.uf AS sigla_uf,
-  {dbl('n')} AS valor_total_liquido, uso AS percentual_uso_cota_mensal, mu AS media_gastos_uf,
-  cu AS media_uso_cota_uf, mp AS media_gastos_partido, cp AS media_uso_cota_partido,
-  CASE WHEN {dbl('n')} > mu THEN 'Acima da Média UF' ELSE 'Abaixo da Média UF' END AS comparacao_uf,
-  CASE WHEN {dbl('n')} > mp THEN 'Acima da Média Partido' ELSE 'Abaixo da Média Partido' END
+WITH p AS ({_spending.replace("LEFT JOIN ver", "JOIN ver")}),
+ u AS (SELECT sigla_uf, {avg('CAST(valor_total_liquido AS DECIMAL(28,6))')} AS media_gastos_uf,
+    {avg('CAST(percentual_uso_cota_mensal AS DECIMAL(18,4))')} AS media_uso_cota_uf FROM p GROUP BY sigla_uf),
+ t AS (SELECT sigla_partido, {avg('CAST(valor_total_liquido AS DECIMAL(28,6))')} AS media_gastos_partido,
+    {avg('CAST(percentual_uso_cota_mensal AS DECIMAL(18,4))')} AS media_uso_cota_partido FROM p GROUP BY sigla_partido)
+SELECT p.*, media_gastos_uf, media_uso_cota_uf, media_gastos_partido, media_uso_cota_partido,
+  CASE WHEN valor_total_liquido > media_gastos_uf THEN 'Acima da Média UF' ELSE 'Abaixo da Média UF' END AS comparacao_uf,
+  CASE WHEN valor_total_liquido > media_gastos_partido THEN 'Acima da Média Partido' ELSE 'Abaixo da Média Partido' END
     AS comparacao_partido
-FROM p JOIN u ON u.uf = p.uf JOIN t ON t.party = p.party""")
+FROM p JOIN u USING (sigla_uf) JOIN t USING (sigla_partido)""")
 
 _won = "tipo IS NOT NULL"
 _kinds = {
@@ -1039,6 +1058,16 @@ SELECT a0 AS ano_base, ano AS ano_comparacao, {avg('g')} AS media, {rnd('stddev_
   count(g) AS casos, count(*) FILTER (g > 10) AS acima_de_10, count(*) FILTER (g < -10) AS abaixo_de_10,
   {rnd('median(CAST(g AS DOUBLE))')} AS mediana
 FROM g GROUP BY a0, ano""")
+SQL["growth_overall"] = sql("exp", f"""
+WITH {_cases},
+ o AS (SELECT {avg('g', 8)} AS m8, {avg('g')} AS m, count(g) AS n, count(*) FILTER (g > 10) AS a, count(*) FILTER (g < -10) AS b FROM g)
+SELECT m AS media_geral, n AS casos, a AS acima, b AS abaixo, {pct('a', 'n')} AS percentual_acima,
+  {pct('b', 'n')} AS percentual_abaixo, coalesce(m8 >= 10, FALSE) AS confirmada FROM o""")
+SQL["top_type_evolution"] = sql("exp", f"""
+WITH r AS (SELECT tipo, row_number() OVER (ORDER BY sum(net) DESC, tipo) AS p FROM exp WHERE tipo IS NOT NULL GROUP BY tipo)
+SELECT ano, {", ".join(f"{dbl(f'coalesce(sum(net) FILTER (p = {i}), 0)')} AS tipo_{i}" for i in range(1, 6))},
+  {", ".join(f"(SELECT tipo FROM r WHERE p = {i}) AS nome_{i}" for i in range(1, 6))}
+FROM exp JOIN r USING (tipo) WHERE p <= 5 GROUP BY ano""")
 SQL["strongest_growth"] = sql("exp", f"""
 WITH {_cases}
 SELECT deputado_id, ano, {dbl('s')} AS gasto_anual, m AS meses_com_dados, a0 AS ano_base,
@@ -1294,6 +1323,8 @@ def _after_batches(query: str) -> str:
     return query.replace(before, f"CAST({price} AS DECIMAL(12,2)) *").replace(joined, left, 1)
 
 
+SQL["spend_on_buckets"] = SQL["spend_by_entity_quota"]
+SQL["votes_on_buckets"] = SQL["vote_adherence"]
 _terms = ", ".join(f"({n}, DATE '{lo}', DATE '{hi}')" for n, lo, hi, _ in TERMS)
 SQL["version_term_overlaps"] = sql("ver", f"""
 SELECT k AS nk_deputado, party AS sigla_partido, CAST(CAST(t0 AS DATE) AS VARCHAR) AS de, CAST(n AS BIGINT) AS "idLegislatura",
@@ -1352,7 +1383,7 @@ SELECT ano, CAST(mes AS BIGINT) AS mes, count(*) FILTER (mes <= 6) AS antes, cou
   count(*) FILTER (mes > 6) AS diferenca FROM docs GROUP BY ano, mes""")
 SQL["sliding_reload"] = sql("docs", """
 SELECT ano, CAST(mes AS BIGINT) AS mes, count(*) AS linhas FROM docs
-WHERE l_returnflag <> 'R' OR (ano = 2019 AND mes = 1) OR (ano = 2018 AND mes = 12) GROUP BY ano, mes""")
+WHERE (l_returnflag <> 'R' OR (ano = 2020 AND mes = 1)) AND NOT (ano = 2019 AND mes = 12) GROUP BY ano, mes""")
 SQL["months_to_load"] = sql("docs", """
 SELECT y AS ano, m AS mes FROM range(2016, 2021) a(y), range(1, 13) b(m)
 WHERE NOT EXISTS (SELECT 1 FROM docs WHERE ano = y AND mes = m AND mes <= 6)""")
@@ -1362,7 +1393,9 @@ SQL["delimited_landing"] = """
 SELECT DISTINCT l_returnflag AS linha_estado, CAST(l_linenumber AS BIGINT) AS linha_numero, l_partkey AS peca FROM lineitem"""
 SQL["malformed_lines"] = """
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS linha FROM lineitem WHERE l_linenumber <> 3"""
-SQL["sorted_listing"] = sql("exp", f"SELECT ano, uf AS sigla_uf, cod_documento, {dbl('net')} AS valor_liquido FROM exp")
+SQL["sorted_listing"] = sql("exp", f"""
+SELECT ano, uf AS sigla_uf, cod_documento, {dbl('net')} AS valor_liquido, l_partkey AS cod_lote, cnpj AS cnpj_cpf_fornecedor,
+  row_number() OVER (ORDER BY ano DESC, uf, net DESC, cod_documento, l_partkey, cnpj) AS linha FROM exp""")
 SQL["json_documents"] = "SELECT o_orderkey AS id, o_orderstatus AS situacao FROM orders"
 SQL["coerced_rows"] = f"""
 SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN event_id END AS numero, 'eventos' AS fonte_dado,

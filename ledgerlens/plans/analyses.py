@@ -194,6 +194,22 @@ def consecutive_growth(expenses: DataFrame, at_least_months: int = 6) -> DataFra
     )
 
 
+def growth_overall(
+    expenses: DataFrame, at_least_months: int = 6, limit: float = 10
+) -> DataFrame:
+    """One row over all cases of growth to the very next year: mean, cases above and below the limit
+    with their shares, and whether the mean reaches it."""
+    g = _exact("crescimento_percentual")
+    cases = _growth_cases(expenses, at_least_months).select(g.alias("_g"))
+    n, up, down = F.count("_g"), count_where(F.col("_g") > limit), count_where(F.col("_g") < -limit)
+    one = cases.agg(mean(F.col("_g")).alias("_mean"), n.alias("casos"), up.alias("acima"), down.alias("abaixo"))
+    return one.select(
+        round_to("_mean").alias("media_geral"), "casos", "acima", "abaixo",
+        percent("acima", "casos").alias("percentual_acima"), percent("abaixo", "casos").alias("percentual_abaixo"),
+        F.coalesce(F.col("_mean") >= limit, F.lit(False)).alias("confirmada"),
+    )
+
+
 def strongest_growth(expenses: DataFrame, n: int = 10, at_least_months: int = 6) -> DataFrame:
     cases = _growth_cases(expenses, at_least_months).where(
         F.col("crescimento_percentual").isNotNull()
@@ -639,6 +655,30 @@ def type_evolution(expenses: DataFrame, columns: Mapping[str, str]) -> DataFrame
     return pivot_sum(expenses, ["ano"], "tipo_despesa", columns, AMOUNT)
 
 
+def top_type_evolution(expenses: DataFrame, n: int = 5) -> DataFrame:
+    """Years down, the ``n`` kinds with the largest total across: name and amount of each place.
+
+    The kinds are chosen by their totals, ties by name, and their places pivoted, so the columns
+    are known before the kinds are. A year without a kind has 0.
+    """
+    merged = (
+        expenses.where(F.col("tipo_despesa").isNotNull())
+        .groupBy("tipo_despesa", "ano").agg(F.sum(AMOUNT).alias("_v"))
+    )
+    totals = merged.groupBy("tipo_despesa").agg(F.sum("_v").alias("_total"))
+    best = largest(totals, [F.col("_total").desc(), F.col("tipo_despesa").asc()], n)
+    place = F.row_number().over(Window.orderBy(F.col("_total").desc(), "tipo_despesa"))  # n rows
+    ranked = best.select("tipo_despesa", place.alias("_place"))
+    rows = merged.join(F.broadcast(ranked), "tipo_despesa")
+    names = ranked.agg(
+        *[F.max(F.when(F.col("_place") == i, F.col("tipo_despesa"))).alias(f"nome_{i}") for i in range(1, n + 1)]
+    )
+    amounts = rows.groupBy("ano").agg(
+        *[sum_where(F.col("_place") == i, F.col("_v"), 0).alias(f"tipo_{i}") for i in range(1, n + 1)]
+    )
+    return with_benchmark(amounts, {f"nome_{i}": F.max(f"nome_{i}") for i in range(1, n + 1)}, names)
+
+
 def type_party_shares(expenses: DataFrame, n: int = 5) -> DataFrame:
     """Per kind: the parties that spend most on it and their share."""
     merged = (

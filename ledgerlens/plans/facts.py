@@ -10,7 +10,7 @@ from ledgerlens.functions.columns import count_where, pick_where, truth
 from ledgerlens.functions.keys import surrogate_key
 from ledgerlens.functions.numeric import percent, percent_or_zero
 from ledgerlens.functions.text import filled, truthy
-from ledgerlens.operators.joins import version_join
+from ledgerlens.operators.joins import version_join, version_join_by_key
 from ledgerlens.operators.rows import value_if
 
 IMPRESSIVE_VOTE_COUNT = 300
@@ -34,11 +34,17 @@ def expense_fact(staged: DataFrame) -> DataFrame:
     )
 
 
-def with_versions(facts: DataFrame, versions: DataFrame, key: str, at: str, how: str = "left") -> DataFrame:
-    """Facts enriched by the person version valid at their time."""
+def with_versions(
+    facts: DataFrame, versions: DataFrame, key: str, at: str, how: str = "left", by_key: bool = False
+) -> DataFrame:
+    """Facts enriched by the person version valid at their time.
+
+    ``by_key`` joins where the rows lie, for tables stored in buckets by person.
+    """
     attributes = [c for c in versions.columns if c not in ("nk_deputado", "is_current")]
     renamed = versions.select(F.col("nk_deputado").alias(key), *attributes)
-    return version_join(facts, renamed, [key], at, how=how).drop("valid_from", "valid_to")
+    join = version_join_by_key if by_key else version_join
+    return join(facts, renamed, [key], at, how=how).drop("valid_from", "valid_to")
 
 
 def vote_tallies(votes: DataFrame, versions: DataFrame) -> DataFrame:
@@ -150,6 +156,7 @@ def vote_fact(
     guidances: DataFrame,
     bills: DataFrame,
     versions: DataFrame,
+    by_key: bool = False,
 ) -> DataFrame:
     """Individual votes with voter version, roll call, own party's guidance and bill.
 
@@ -185,7 +192,7 @@ def vote_fact(
     joined = (
         with_versions(
             votes.select("id_votacao", "deputado_id", "tipo_voto", "data_registro_voto"),
-            voter, "deputado_id", "data_registro_voto",
+            voter, "deputado_id", "data_registro_voto", by_key=by_key,
         )
         .join(call, "id_votacao", "left")
         .join(line, ["id_votacao", "sigla_partido"], "left")

@@ -52,6 +52,7 @@ def spend_per_person(
     versions: DataFrame,
     quota: float = rules.MONTHLY_QUOTA,
     require_version: bool = False,
+    by_key: bool = False,
 ) -> DataFrame:
     """Spending per person version with use of the monthly quota.
 
@@ -59,9 +60,10 @@ def spend_per_person(
     ``require_version``. Only the version key travels with the documents; names and other
     attributes are joined to the finished totals. The documents are read and joined once: lines are
     merged per (version, document, month), which spreads a person with very many documents over
-    tasks, then per month, where a document counts in its first one, then per version.
+    tasks, then per month, where a document counts in its first one, then per version. Where both
+    tables are stored in buckets by person, ``by_key`` does all of it without moving a row.
     """
-    joined = spending_lines(facts, versions, require_version)
+    joined = spending_lines(facts, versions, require_version, by_key)
     amount = F.col("valor_documento")
     merged = joined.groupBy(*VERSION, "cod_documento", "_month").agg(
         F.count(F.lit(1)).alias("_rows"),
@@ -75,15 +77,17 @@ def spend_per_person(
         F.min("data_documento").alias("_first"),
         F.max("data_documento").alias("_last"),
     )
-    return spending_of_documents(merged, versions, quota)
+    return spending_of_documents(merged, versions, quota, by_key)
 
 
-def spending_lines(facts: DataFrame, versions: DataFrame, require_version: bool = False) -> DataFrame:
+def spending_lines(
+    facts: DataFrame, versions: DataFrame, require_version: bool = False, by_key: bool = False
+) -> DataFrame:
     """Documents with a positive amount beside the key of their person version and their month."""
     keys = versions.select("nk_deputado", "sk_deputado", "valid_from", "valid_to")
     joined = with_versions(
         facts.where(F.col("valor_documento") > 0), keys, "nk_deputado", "data_documento",
-        "inner" if require_version else "left",
+        "inner" if require_version else "left", by_key,
     )
     return joined.withColumns(
         {
@@ -94,7 +98,7 @@ def spending_lines(facts: DataFrame, versions: DataFrame, require_version: bool
 
 
 def spending_of_documents(
-    merged: DataFrame, versions: DataFrame, quota: float = rules.MONTHLY_QUOTA
+    merged: DataFrame, versions: DataFrame, quota: float = rules.MONTHLY_QUOTA, by_key: bool = False
 ) -> DataFrame:
     """Spending per person version out of one row per version, document and month."""
     version, bands = list(VERSION), SPENDING_BANDS
@@ -119,7 +123,14 @@ def spending_of_documents(
         F.max("_last").alias("ultima_despesa"),
     )
     attributes = [c for c in PERSON if c not in ("sk_deputado", "deputado_id")]
-    known = known.join(versions.select("sk_deputado", *attributes), "sk_deputado", "left")
+    if by_key:  # the person is the only equal key, so that the rows stay in their buckets
+        own = versions.select(
+            F.col("nk_deputado").alias("_nk"), F.col("sk_deputado").alias("_sk"), *attributes
+        )
+        same = (F.col("nk_deputado") == F.col("_nk")) & F.col("sk_deputado").between(F.col("_sk"), F.col("_sk"))
+        known = known.join(own, same, "left").drop("_nk", "_sk")
+    else:
+        known = known.join(versions.select("sk_deputado", *attributes), "sk_deputado", "left")
     na = F.lit("N/A")
     limit = F.lit(quota) * F.col("total_meses_atividade").cast("double")
     use = F.col("percentual_uso_cota_mensal")

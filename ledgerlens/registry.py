@@ -17,7 +17,7 @@ from ledgerlens.operators import (
 from ledgerlens.operators.lineage import materialize, new_path
 from ledgerlens.operators.ordered import group_median
 from ledgerlens.plans import analyses, dimensions, explore, facts, incremental, marts, person, staging
-from ledgerlens.sources import checked, periods, readers, variants, writers
+from ledgerlens.sources import bucketed, checked, periods, readers, variants, writers
 from ledgerlens.streaming import histories
 from ledgerlens.streaming import merge as streams
 
@@ -146,20 +146,94 @@ def align_by_name(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def period_landing(spark: SparkSession, d: str) -> DataFrame:
-    """Documents landed by year and month, one month replaced, rows counted before and after."""
+    """Documents without refund landed by year and month, two months replaced by all their documents:
+    rows per period before and after."""
     path = new_path(spark, "landing")
-    landed = a.expenses(spark, d).select("cod_documento", "valor_documento", "ano", "mes")
-    writers.append(landed, path, ["ano", "mes"])
-    before = spark.read.parquet(path)
-    counts = materialize(writers.rows_per_period(before), "before")
-    some = landed.where(
-        (F.col("ano") == 2020) & (F.col("mes") <= 2) & (F.col("cod_documento") % 10 == 1)
+    docs = a.expenses(spark, d).select("cod_documento", "valor_documento", "num_ressarcimento", "ano", "mes")
+    writers.append(docs.where(F.col("num_ressarcimento").isNull()), path, ["ano", "mes"])
+    before = materialize(spark.read.schema(docs.schema).parquet(path), "before")
+    writers.replace_periods(periods.in_periods(docs, [(2020, 1), (2020, 2)]), path)
+    return writers.compare_periods(before, spark.read.schema(docs.schema).parquet(path))
+
+
+@query
+def timestamped_landing(spark: SparkSession, d: str) -> DataFrame:
+    """Two loads of the same months side by side, one file per month each, told apart by their stamp."""
+    path = new_path(spark, "landing")
+    docs = a.expenses(spark, d).select("cod_documento", "num_ressarcimento", "ano", "mes")
+    writers.land_period_files(docs.where(F.col("num_ressarcimento").isNull()), path, "despesas", "20250101_030000")
+    writers.land_period_files(docs, path, "despesas", "20250102_030000")
+    landed = spark.read.schema(docs.schema).option("recursiveFileLookup", "true").parquet(path)
+    names = F.col("_metadata.file_path")
+    loads = landed.select(
+        F.regexp_extract(names, "despesas-([0-9_]+)/", 1).alias("carga"),
+        F.regexp_extract(names, "ano=([0-9]+)", 1).cast("int").alias("ano"),
+        F.regexp_extract(names, "mes=([0-9]+)", 1).cast("int").alias("mes"),
+        names.alias("arquivo"),
+    )
+    return loads.groupBy("carga", "ano", "mes").agg(
+        F.count(F.lit(1)).alias("linhas"), F.count_distinct("arquivo").alias("arquivos")
+    )
+
+
+@query
+def seed_table(spark: SparkSession, d: str) -> DataFrame:
+    """Kinds of parts written as a quoted seed file and read with the column types of the contract."""
+    source = new_path(spark, "seed")
+    kinds = a.table(spark, d, "part").groupBy("p_type").agg(
+        F.min("p_partkey").alias("codCategoria"), F.count(F.lit(1)).alias("codSubCategoria")
     )
-    writers.replace_periods(some, path)
-    after = writers.rows_per_period(spark.read.parquet(path))
-    return counts.withColumnRenamed("linhas", "antes").join(
-        after.withColumnRenamed("linhas", "depois"), ["ano", "mes"], "full"
-    ).select("ano", "mes", "antes", F.coalesce("depois", F.lit(0)).alias("depois"))
+    kinds.select(
+        "codCategoria", F.concat("p_type", F.lit("; parte")).alias("categoria"), "codSubCategoria",
+        F.when(F.col("p_type") != "PROMO", F.lower("p_type")).alias("subCategoria"),
+    ).write.csv(source, sep=";", header=True, quoteAll=True)
+    return readers.read_seed(spark, source, "categorias")
+
+
+@query
+def nested_rows_flatten(spark: SparkSession, d: str) -> DataFrame:
+    """Rows with records inside records as flat columns named by their path."""
+    pages = a.table(spark, d, "pages")
+    nested = pages.select(
+        "page_id",
+        F.struct(
+            F.col("url"),
+            F.struct(F.length("html").alias("tamanho"), F.md5("html").alias("resumo")).alias("corpo"),
+        ).alias("pagina"),
+    )
+    path = new_path(spark, "nested")
+    nested.write.json(path)
+    return readers.flatten(spark.read.schema(nested.schema).json(path))
+
+
+@query
+def json_latest_merge(spark: SparkSession, d: str) -> DataFrame:
+    """JSON documents with several records per key: the newest record of each key is merged into a
+    table that holds the open orders."""
+    source, path = new_path(spark, "json"), new_path(spark, "orders")
+    orders = a.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("pessoa"), F.col("o_orderstatus").alias("situacao"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("dia"), F.year("o_orderdate").alias("ano"),
+    )
+    versioned.commit(spark, path, orders.where(F.col("situacao") == "O"), ["id"], ["ano"])
+    # each order once as ordered and once as settled a day later
+    settled = orders.withColumns(
+        {"situacao": F.lit("S"), "dia": F.date_format(F.date_add(F.to_date("dia"), 1), "yyyy-MM-dd")}
+    )
+    _as_documents(orders.unionByName(settled), ["ano"]).write.json(source)
+    wanted = T.StructType([T.StructField("dados", T.ArrayType(orders.schema))])
+    rows_ = readers.read_json_documents(spark, source, wanted, whole_file=False).select(*orders.columns)
+    versioned.commit(spark, path, rows_, ["id"], ["ano"], order_by=[F.col("dia").desc()])
+    return versioned.read(spark, path, orders.schema, ["ano"])
+
+
+def _as_documents(df: DataFrame, by: list[str], rows_each: int = 500) -> DataFrame:
+    """Rows as documents ``{"dados": [...]}`` of some ``rows_each`` rows of a group, however large the
+    group: rows are dealt by hash to as many documents as the group's row count asks for."""
+    counted = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_each)).alias("_docs"))
+    dealt = df.join(counted, by).withColumn("_doc", F.pmod(F.xxhash64(*df.columns), F.col("_docs")))
+    item = F.struct(*df.columns)
+    return dealt.groupBy(*by, "_doc").agg(F.collect_list(item).alias("dados")).select("dados")
 
 
 @query
@@ -458,41 +532,29 @@ def scd2_stream(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def expense_fact_derived(spark: SparkSession, d: str) -> DataFrame:
-    return _expense_facts(spark, d).select(
-        "sk_despesa", "nk_deputado", "cod_documento", "cod_lote", "cnpj_cpf_fornecedor", "ano_mes",
-        "trimestre", "valor_documento", "valor_liquido", "valor_glosa", "percentual_glosa",
-        "status_financeiro", "faixa_valor", "tem_documento", "tem_ressarcimento",
-    )
+    return _expense_facts(spark, d)
 
 
 @query
 def vote_tally(spark: SparkSession, d: str) -> DataFrame:
     return facts.roll_call_fact(
         _roll_calls(spark, d), _votes(spark, d), a.deputies(spark, d), _bills(spark, d)
-    ).drop("uri_evento", "uri_orgao", "proposicao_ementa_detalhada")
+    )
 
 
 @query
 def vote_adherence(spark: SparkSession, d: str) -> DataFrame:
-    return _vote_facts(spark, d).select(
-        "sk_voto_individual", "nk_votacao", "nk_deputado", "nk_proposicao", "sigla_partido",
-        "tipo_voto", "orientacao_partido", "fidelidade_partidaria", "peso_voto_numerico",
-        "categoria_voto", "ano_votacao", "mes_votacao", "trimestre_votacao",
-        "flag_votacao_aprovada", "flag_tem_orientacao_partido", "flag_tem_proposicao_vinculada",
-    )
+    return _vote_facts(spark, d)
 
 
 @query
 def bill_fact(spark: SparkSession, d: str) -> DataFrame:
-    return _bill_facts(spark, d).drop("partido_proponente")
+    return _bill_facts(spark, d)
 
 
 @query
 def bill_fact_per_author(spark: SparkSession, d: str) -> DataFrame:
-    return _bill_facts(spark, d, per_author=True).select(
-        "sk_proposicao", "nk_proposicao", "nk_deputado", "total_autores", "total_proponentes",
-        "deputado_proponente_id", "total_temas", "total_votacoes",
-    )
+    return _bill_facts(spark, d, per_author=True)
 
 
 # --- marts ------------------------------------------------------------------------------
@@ -511,15 +573,37 @@ def spend_on_person_pipeline(spark: SparkSession, d: str) -> DataFrame:
     return marts.spend_per_person(documents, materialize(people, "people"))
 
 
+BUCKETS = 16
+
+
+def _bucketed(spark: SparkSession, df: DataFrame, name: str, key: str) -> DataFrame:
+    path = new_path(spark, name)
+    return bucketed.store(df, path.rsplit("/", 1)[1].replace("-", "_"), [key], BUCKETS, path)
+
+
 @query
-def spend_vs_state_segment_avg(spark: SparkSession, d: str) -> DataFrame:
-    return marts.spend_with_benchmarks(_expense_facts(spark, d), a.deputy_versions(spark, d)).select(
-        "sk_deputado", "deputado_id", "sigla_partido", "sigla_uf", "valor_total_liquido",
-        "percentual_uso_cota_mensal", "media_gastos_uf", "media_uso_cota_uf", "media_gastos_partido",
-        "media_uso_cota_partido", "comparacao_uf", "comparacao_partido",
+def spend_on_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """The same out of documents and versions that are stored in buckets by person."""
+    documents = _bucketed(spark, _expense_facts(spark, d), "documents", "nk_deputado")
+    people = _bucketed(spark, a.deputy_versions(spark, d), "people", "nk_deputado")
+    return marts.spend_per_person(documents, people, by_key=True)
+
+
+@query
+def votes_on_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """Votes with version, roll call, guidance and bill out of votes stored in buckets by person."""
+    cast = _bucketed(spark, _votes(spark, d), "votes", "deputado_id")
+    people = _bucketed(spark, a.deputies(spark, d), "people", "nk_deputado")
+    return facts.vote_fact(
+        cast, _roll_calls(spark, d), staging.guidances(a.guidances(spark, d)), _bills(spark, d), people, by_key=True
     )
 
 
+@query
+def spend_vs_state_segment_avg(spark: SparkSession, d: str) -> DataFrame:
+    return marts.spend_with_benchmarks(_expense_facts(spark, d), a.deputy_versions(spark, d))
+
+
 def _productivity(spark: SparkSession, d: str) -> DataFrame:
     return marts.productivity(
         staging.authors(a.authors(spark, d)), _bill_facts(spark, d), a.deputies(spark, d)
@@ -680,6 +764,7 @@ _analysis("lorenz_curve", analyses.lorenz_curve)
 _analysis("seasonality_q4_q1", analyses.fourth_against_first_quarter)
 _analysis("month_year_pivot", analyses.month_table)
 _analysis("consecutive_growth", lambda e: analyses.consecutive_growth(e, at_least_months=2))
+_analysis("growth_overall", lambda e: analyses.growth_overall(e, at_least_months=2))
 _analysis("strongest_growth", lambda e: analyses.strongest_growth(e, at_least_months=2))
 _analysis("bench_bins", lambda e: analyses.bench_size_bins(e, (270, 300)), person=True)
 _analysis("corr_bench_spend", lambda e: _rounded_trend(analyses.bench_size_trend(e)), person=True)
@@ -705,6 +790,7 @@ _analysis("market_share_volatility", lambda e: analyses.party_evolution(e, 3), p
 _analysis("party_overview", analyses.party_overview, person=True)
 _analysis("expense_type_diversity", analyses.type_profile, person=True, kind=True)
 _analysis("expense_type_seasons", analyses.type_seasons, kind=True)
+_analysis("top_type_evolution", analyses.top_type_evolution, kind=True)
 _analysis("expense_type_parties", analyses.type_party_shares, person=True, kind=True)
 _analysis(
     "expense_type_evolution",
@@ -1044,12 +1130,14 @@ def full_refresh_audit(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def sliding_reload(spark: SparkSession, d: str) -> DataFrame:
-    """A table without refunded documents whose current and previous month are loaded in full."""
+    """A table without refunded documents whose current and previous month are loaded in full; the
+    previous month has become empty at the source."""
     path = new_path(spark, "sliding")
     docs = a.expenses(spark, d).select("cod_documento", "num_ressarcimento", "ano", "mes")
     writers.overwrite(docs.where(F.col("num_ressarcimento").isNull()), path, ["ano", "mes"])
-    months = periods.current_and_previous(date(2019, 1, 15))
-    writers.replace_periods(periods.in_periods(docs, months), path)
+    months = periods.current_and_previous(date(2020, 1, 15))
+    source = docs.where((F.col("ano") != 2019) | (F.col("mes") != 12))
+    writers.reload_periods(source, path, months)
     return writers.rows_per_period(spark.read.schema(docs.schema).parquet(path))
 
 
@@ -1093,21 +1181,24 @@ def malformed_lines(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def sorted_listing(spark: SparkSession, d: str) -> DataFrame:
-    """Documents exported as a listing, largest first, and read again."""
+    """Documents exported as a listing, largest first, and read again with their place in it."""
     target = new_path(spark, "listing")
-    docs = a.expenses(spark, d, person=True).select("ano", "sigla_uf", "cod_documento", "valor_liquido")
+    docs = a.expenses(spark, d, person=True).select(
+        "ano", "sigla_uf", "cod_documento", "valor_liquido", "cod_lote", "cnpj_cpf_fornecedor"
+    )
     order = [F.col("ano").desc(), F.col("sigla_uf").asc(), F.col("valor_liquido").desc()]
-    writers.export_csv(docs, target, order, ";")
-    return readers.read_delimited(spark, target, docs.schema)
+    writers.export_csv(docs, target, [*order, "cod_documento", "cod_lote", "cnpj_cpf_fornecedor"], ";")
+    return readers.listing_rows(readers.read_delimited(spark, target, docs.schema))
 
 
 @query
 def json_documents(spark: SparkSession, d: str) -> DataFrame:
     """JSON documents of many rows each, read row by row."""
     source = new_path(spark, "json")
-    row = F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("situacao"))
-    orders = a.table(spark, d, "orders").groupBy("o_orderdate").agg(F.collect_list(row).alias("dados"))
-    orders.select("dados").write.json(source)
+    orders = a.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("situacao"), F.year("o_orderdate").alias("ano")
+    )
+    _as_documents(orders, ["ano"]).write.json(source)
     wanted = T.StructType.fromDDL("dados array<struct<id: bigint, situacao: string>>")
     return readers.read_json_documents(spark, source, wanted, whole_file=False).drop("arquivo")
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import schemas
 from ledgerlens.functions.keys import number_after
+from ledgerlens.operators.lineage import materialize
 
 
 def read_parquet(
@@ -62,6 +63,21 @@ def read_delimited(
     return spark.read.schema(schema).csv(path, sep=sep, header=True, mode=mode)
 
 
+def listing_rows(df: DataFrame, out: str = "linha") -> DataFrame:
+    """Number of every row of a listing, from 1, in the order of its files and of the rows in them.
+
+    Files are counted apart: a file's rows are numbered where they lie, by the bytes at which Spark's
+    splits begin, and shifted by the rows of the splits before. One small row per split carries that.
+    """
+    place = F.struct(F.col("_metadata.file_name").alias("f"), F.col("_metadata.file_block_start").alias("b"))
+    rows = df.select("*", place.alias("_place"), F.monotonically_increasing_id().alias("_at"))
+    rows = materialize(rows, "listing")
+    split = rows.groupBy("_place").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    shift = split.select("_place", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    return rows.join(shift, "_place").select(*df.columns, (F.col("_at") + F.col("_shift")).alias(out))
+
+
 def safe_cast(c: Column, kind: str, source: T.DataType | None = None) -> Column:
     """Cast that yields NULL for a value that does not fit; arrays become comma-joined text."""
     if isinstance(source, T.ArrayType):

@@ -18,6 +18,43 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     _by_period(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def reload_periods(
+    df: DataFrame,
+    path: str,
+    periods: Sequence[Sequence[object]],
+    partition_by: Sequence[str] = ("ano", "mes"),
+) -> None:
+    """Replace the listed periods by their rows in ``df``; a listed period without rows becomes empty.
+
+    Rows of other periods are left out. The rows are written before the folders of emptied periods
+    go, so a run that dies in between keeps old rows at most, and running it again finishes it.
+    """
+    spark, names = df.sparkSession, list(partition_by)
+    wanted = spark.createDataFrame([tuple(p) for p in periods], T.StructType([df.schema[n] for n in names]))
+    kept = df.join(F.broadcast(wanted), names, "left_semi")  # one row per listed period
+    replace_periods(kept, path, names)
+    filled = {tuple(r) for r in kept.select(*names).distinct().collect()}  # at most the listed periods
+    for period in periods:
+        if tuple(period) not in filled:
+            folder = "/".join(f"{n}={v}" for n, v in zip(names, period, strict=True))
+            place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def land_period_files(
+    df: DataFrame, path: str, name: str, stamp: str, partition_by: Sequence[str] = ("ano", "mes")
+) -> None:
+    """One landing per period and load: ``path/name-stamp/ano=../mes=..`` with one file each.
+
+    Loads stand side by side, so a later one never overwrites what an earlier one landed; a load of
+    the same stamp does.
+    """
+    one = df.repartition(*[F.col(c) for c in partition_by])
+    one.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(
+        f"{path}/{name}-{stamp}"
+    )
+
+
 def replace_periods(df: DataFrame, path: str, partition_by: Sequence[str] = ("ano", "mes")) -> None:
     """Replace exactly the periods that occur in ``df``; leave all other folders alone."""
     (
@@ -37,7 +74,7 @@ def _by_period(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 def export_csv(
     df: DataFrame, path: str, order_by: Sequence[Column] = (), sep: str = ","
 ) -> None:
-    """Listing with header; sorted across the files in name order."""
+    """Listing with header; sorted across the files in name order. See ``readers.listing_rows``."""
     ordered = df.orderBy(*order_by) if order_by else df
     ordered.write.mode("overwrite").csv(path, header=True, sep=sep)
 

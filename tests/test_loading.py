@@ -217,3 +217,55 @@ def test_unique_stream_keeps_late_rows(spark, tmp_path):
         streams.append_unique(stream, path, str(tmp_path / "offsets"), ["k", "dia"], ["dia"]).awaitTermination()
     got = spark.read.schema(schema).parquet(path).select("k", "dia", "v").collect()
     assert sorted(map(tuple, got), key=repr) == [(1, "2024-05-01", 1), (2, "2022-01-01", 3), (None, "2024-05-01", 4)]
+
+
+def test_reload_empties_a_month_without_rows(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    old = [(1, 2019, 12), (2, 2020, 1), (3, 2020, 2)]
+    df = lambda x: spark.createDataFrame(x, "k bigint, ano int, mes int")
+    writers.overwrite(df(old), path, ["ano", "mes"])
+    writers.reload_periods(df([(4, 2020, 1), (5, 2020, 2)]), path, [(2019, 12), (2020, 1)])
+    back = spark.read.schema("k bigint, ano int, mes int").parquet(path)
+    assert rows(back, "k", "ano", "mes") == [(3, 2020, 2), (4, 2020, 1)]
+
+
+def test_landings_stand_side_by_side(spark, tmp_path):
+    df = spark.createDataFrame([(i, 2020, i % 2) for i in range(20)], "k bigint, ano int, mes int").repartition(5)
+    for stamp in ("a", "b", "b"):
+        writers.land_period_files(df, str(tmp_path), "x", stamp)
+    files = sorted(str(p.relative_to(tmp_path).parent) for p in tmp_path.rglob("*.parquet"))
+    assert files == [f"x-{s}/ano=2020/mes={m}" for s in "ab" for m in (0, 1)]
+
+
+def test_listing_rows_follow_the_files(spark, tmp_path):
+    path = str(tmp_path / "l")
+    df = spark.range(5000).selectExpr("cast(id as int) as k", "repeat('x', 20) as pad").repartition(4)
+    writers.export_csv(df, path, [F.col("k").desc()], ";")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")  # files are split, and splits packed
+    try:
+        read = readers.listing_rows(readers.read_delimited(spark, path, df.schema))
+        assert read.where("linha <> 5000 - k").count() == 0 and read.count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_timed_batches_and_empty_ones(spark, tmp_path):
+    import time
+
+    base = str(tmp_path)
+    schema = "k bigint, ano int, mes int"
+    put = lambda x: spark.createDataFrame(x, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    put([(1, 2020, 1)])
+    stream = streams.arriving_files(spark, f"{base}/in", spark.createDataFrame([], schema).schema)
+    run = streams.merge_stream(stream, f"{base}/t", f"{base}/o", ["k"], every="1 second")
+    try:
+        run.processAllAvailable()
+        time.sleep(3)  # triggers without new files write nothing
+        stamp = sorted(p.name for p in (tmp_path / "t").rglob("*.parquet"))
+        put([(2, 2020, 1), (1, 2020, 2)])
+        run.processAllAvailable()
+    finally:
+        run.stop()
+    assert len(stamp) == 1
+    got = spark.read.schema(schema).parquet(f"{base}/t").collect()
+    assert sorted(map(tuple, got)) == [(1, 2020, 2), (2, 2020, 1)]
