@@ -40,12 +40,26 @@ def newest(spark: SparkSession, path: str) -> int:
     return 0
 
 
-def periods(spark: SparkSession, path: str, partition_by: Sequence[str], version: int | None = None) -> list[Row]:
-    """Periods of a version with the version that holds each: at most one row per period folder."""
+def periods(
+    spark: SparkSession,
+    path: str,
+    partition_by: Sequence[str],
+    version: int | None = None,
+    schema: T.StructType | None = None,
+) -> list[Row]:
+    """Periods of a version with the version that holds each: at most one row per period folder.
+
+    With the table's ``schema`` the manifest's own need not be looked up.
+    """
     number = newest(spark, path) if version is None else version
     if not number:
         return []
-    return spark.read.parquet(_at(path, "manifest", number)).select(*partition_by, _HOLDER).collect()
+    reader = spark.read if schema is None else spark.read.schema(_manifest(schema, partition_by))
+    return reader.parquet(_at(path, "manifest", number)).select(*partition_by, _HOLDER).collect()
+
+
+def _manifest(schema: T.StructType, partition_by: Sequence[str]) -> T.StructType:
+    return T.StructType([*[schema[p] for p in partition_by], T.StructField(_HOLDER, T.IntegerType())])
 
 
 def read(
@@ -60,7 +74,7 @@ def read(
 
     Just the folders of those periods are listed and read.
     """
-    held = periods(spark, path, partition_by, version)
+    held = periods(spark, path, partition_by, version, schema)
     if only is not None:
         wanted = {tuple(p) for p in only}
         held = [p for p in held if tuple(p)[:-1] in wanted]
@@ -121,9 +135,9 @@ def commit(
     source = materialize(latest(batch.dropna(subset=keys), keys, order).select(*columns), "batch")
     wanted = source.select(*keys)
     if deletes is not None:
-        wanted = materialize(wanted.union(deletes.select(*keys).dropna()).distinct(), "keys")
+        wanted = wanted.union(deletes.select(*keys).dropna())
     feed_path = _at(path, "feed", last + 1)
-    known = _located(spark, path, wanted, partition_by, last)
+    known = _located(spark, path, wanted, schema, partition_by, last)
     stored = read(spark, path, schema, partition_by, last, known)
     _feed(stored.join(wanted, keys, "left_semi"), source, keys, sequence, deletes).write.mode("overwrite").parquet(feed_path)
     wide = T.StructType([*schema.fields, T.StructField(KIND, T.StringType())])
@@ -141,13 +155,11 @@ def commit(
     ).partitionBy(*partition_by).parquet(rows_path)
     _index(new, keys, partition_by).write.mode("overwrite").parquet(_at(path, "keys", last + 1))
 
-    kinds = [schema[p] for p in partition_by]
-    holder = T.StructField(_HOLDER, T.IntegerType())
     filled = spark.read.schema(schema).parquet(rows_path).select(*partition_by).distinct().collect()
     gone = set(touched)
-    live = [tuple(p) for p in periods(spark, path, partition_by, last) if tuple(p)[:-1] not in gone]
+    live = [tuple(p) for p in periods(spark, path, partition_by, last, schema) if tuple(p)[:-1] not in gone]
     live += [(*p, last + 1) for p in filled]
-    manifest = spark.createDataFrame(live, T.StructType([*kinds, holder])).coalesce(1)
+    manifest = spark.createDataFrame(live, _manifest(schema, partition_by)).coalesce(1)
     manifest.write.mode("overwrite").parquet(_at(path, "manifest", last + 1))
     return last + 1
 
@@ -203,13 +215,19 @@ def _indexed(spark: SparkSession, path: str, last: int) -> list[str]:
 
 
 def _located(
-    spark: SparkSession, path: str, wanted: DataFrame, partition_by: Sequence[str], last: int
+    spark: SparkSession,
+    path: str,
+    wanted: DataFrame,
+    schema: T.StructType,
+    partition_by: Sequence[str],
+    last: int,
 ) -> list[tuple]:
     """Periods where rows with the wanted keys may be stored: at most one row per folder."""
     folders = _indexed(spark, path, last)
     if not folders:
         return []
-    index = spark.read.parquet(*folders)
+    slim = T.StructType([T.StructField(_HASH, T.LongType()), *[schema[p] for p in partition_by]])
+    index = spark.read.schema(slim).option("basePath", f"{path}/keys").parquet(*folders)
     hashes = wanted.select(F.xxhash64(*wanted.columns).alias(_HASH))
     return [tuple(p) for p in index.join(hashes, _HASH, "left_semi").select(*partition_by).distinct().collect()]
 

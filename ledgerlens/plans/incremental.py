@@ -32,7 +32,7 @@ class Kept:
     entity: Sequence[str]
     keys: Sequence[str]
     sums: Sequence[str]
-    buckets: int = 64
+    buckets: int = 16
 
     def apply(self, spark: SparkSession, path: str, lines: DataFrame) -> int:
         """Add lines (keys, sums, ``_sign``) to the totals at ``path``; the version that results.
@@ -66,7 +66,6 @@ class Kept:
                 for c in names
             ],
         ).select(*delta.columns)
-        after = materialize(after, "totals")
         return versioned.commit(
             spark, path, after.where(F.col(ROWS) > 0), [_GROUP], [_BUCKET],
             deletes=after.where(F.col(ROWS) <= 0).select(_GROUP),

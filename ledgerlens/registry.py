@@ -520,7 +520,7 @@ def scd2_stream(spark: SparkSession, d: str) -> DataFrame:
         log.where(rows_of_file).coalesce(1).write.mode("append").parquet(folder)
     stream = streams.arriving_files(spark, folder, log.schema, files_per_batch=1)
     run = histories.history_stream(
-        stream, path, new_path(spark, "offsets"), ["deputado_id"], "data_hora", ["sigla_partido"], ["mensagem"], 32
+        stream, path, new_path(spark, "offsets"), ["deputado_id"], "data_hora", ["sigla_partido"], ["mensagem"], 8
     )
     run.awaitTermination()
     schema = history.scd2_build(log, ["deputado_id"], "data_hora", ["sigla_partido"]).schema
@@ -1068,7 +1068,7 @@ def _commit_documents(spark: SparkSession, table: str, batch: DataFrame, gone: D
     """The rows that one batch changes; of several rows of a document and part the largest counts."""
     key = ["cod_documento", "cod_lote", "cnpj_cpf_fornecedor"]
     largest = [F.col("valor_documento").desc(), F.col("valor_glosa").desc()]
-    now = versioned.commit(spark, table, batch, key, order_by=largest, deletes=gone)
+    now = versioned.commit(spark, table, batch, key, ["ano"], order_by=largest, deletes=gone)
     return versioned.changes(spark, table, batch.schema, now - 1, now)
 
 
