@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -130,8 +131,28 @@ def _features(text: str, start: int, kind: int, end: int) -> list[float]:
     ]
 
 
-def _overlaps(span: tuple[int, int, int], taken: list[tuple[int, int, int]]) -> bool:
-    return any(span[0] < end and start < span[2] for start, _, end in taken)
+class Taken:
+    """Disjoint stretches of a text in order, so that an overlap is found by halving."""
+
+    def __init__(self, spans: Sequence[tuple[int, int, int]] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, _, end in sorted(spans):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def overlaps(self, span: tuple[int, int, int]) -> bool:
+        before = bisect_left(self.starts, span[2]) - 1
+        return before >= 0 and span[0] < self.ends[before]
+
+    def add(self, span: tuple[int, int, int]) -> None:
+        """A span that overlaps none of those held."""
+        at = bisect_left(self.starts, span[0])
+        self.starts.insert(at, span[0])
+        self.ends.insert(at, span[2])
 
 
 @dataclass
@@ -146,15 +167,18 @@ class Model:
             return [], []
         good, bad = strict(text)
         failed = {(s, k, e) for s, k, e in bad}
-        left = [p for p in dict.fromkeys(proposals(text)) if p not in failed and not _overlaps(p, good)]
+        strictly = Taken(good)
+        left = [p for p in dict.fromkeys(proposals(text)) if p not in failed and not strictly.overlaps(p)]
         if not left:
             return good, good
         x = np.array([_features(text, *p) for p in left])
         rated = sorted(zip((-self.scale(self.trees.margin(x))).tolist(), left, strict=True))
         extra: list[tuple[int, int, int]] = []
+        added = Taken()
         for minus, span in rated:
-            if -minus >= self.limit and not _overlaps(span, extra):
+            if -minus >= self.limit and not added.overlaps(span):
                 extra.append(span)
+                added.add(span)
         return good, sorted(good + extra)
 
 

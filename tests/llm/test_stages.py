@@ -1,11 +1,13 @@
 """Near copies in the pipeline: one row of each SimHash group, against all pairs."""
 
 import random
+import time
 
 import corpus_pipeline
+import numpy as np
 import xxhash
 
-from ledgerlens.llm import simhash
+from ledgerlens.llm import pii, simhash
 
 SCHEMA = "doc_id bigint, text string, row string, first int, key int, id string"
 
@@ -54,3 +56,28 @@ def test_only_rows_of_one_group_replace_each_other(spark):
     got = sorted(((x.doc_id, x.text) for x in simhash.keep_one(df).collect()), key=repr)
     assert got == [(1, a), (1, b), (None, a), (None, a)]
     assert simhash.keep_one(df.limit(0)).count() == 0
+
+
+def test_spans_of_a_long_list_of_contacts():
+    r = random.Random(9)
+    spans = [(s, r.randrange(4), s + r.randrange(1, 40)) for s in (r.randrange(5000) for _ in range(300))]
+    taken = pii.Taken(spans[:150])
+    for one in spans:
+        assert taken.overlaps(one) == any(one[0] < end and start < one[2] for start, _, end in spans[:150])
+    greedy, kept = pii.Taken(), []
+    for one in spans:
+        hit = any(one[0] < end and start < one[2] for start, _, end in kept)
+        assert greedy.overlaps(one) == hit
+        if not hit:
+            kept.append(one)
+            greedy.add(one)
+
+    class Trees:
+        def margin(self, x):
+            return np.arange(len(x)) % 7 / 7
+
+    text = "".join(f"name{i} at host{i}.org, call 0{i:09d} or +1 555 {i:07d}; 10.0.{i % 256}.1\n" for i in range(40_000))
+    model = pii.Model(Trees(), lambda m: m, 0.5)
+    begin = time.perf_counter()
+    good, found = model.spans(text)
+    assert len(good) >= 80_000 and set(good) <= set(found) and time.perf_counter() - begin < 60
