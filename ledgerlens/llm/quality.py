@@ -148,12 +148,13 @@ class Hashed:
     @staticmethod
     def slots(word: str) -> int:
         """Slot of the word and of its shape, as one number."""
-        shape = "".join(
-            "A" if p.isupper() and len(p) > 1 else "a" if p.isalpha() else "9" if p.isdigit() else p
-            for p in _SHAPES.findall(word[:64])
-        )
+        shape = zlib.crc32(b"#")
+        for m in _SHAPES.finditer(word):  # of the whole word, however long
+            p = m.group()
+            p = "A" if p.isupper() and len(p) > 1 else "a" if p.isalpha() else "9" if p.isdigit() else p
+            shape = zlib.crc32(p.encode("utf-8", "surrogatepass"), shape)
         own = zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % SLOTS
-        return own * SLOTS + zlib.crc32(b"#" + shape.encode("utf-8", "surrogatepass")) % SLOTS
+        return own * SLOTS + shape % SLOTS
 
     def __call__(self, words: list[str], counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         known, slots = self.known, self.slots

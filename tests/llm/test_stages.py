@@ -2,12 +2,13 @@
 
 import random
 import time
+import zlib
 
 import corpus_pipeline
 import numpy as np
 import xxhash
 
-from ledgerlens.llm import pii, simhash
+from ledgerlens.llm import pii, quality, simhash
 
 SCHEMA = "doc_id bigint, text string, row string, first int, key int, id string"
 
@@ -81,3 +82,12 @@ def test_spans_of_a_long_list_of_contacts():
     begin = time.perf_counter()
     good, found = model.spans(text)
     assert len(good) >= 80_000 and set(good) <= set(found) and time.perf_counter() - begin < 60
+
+
+def test_shape_of_a_whole_word():
+    slots = quality.Hashed.slots
+    assert slots("ab12-X") % quality.SLOTS == slots("xy77-Q") % quality.SLOTS
+    long = "a1" * 300
+    assert slots(long) % quality.SLOTS != slots(long + "-") % quality.SLOTS
+    assert slots("x1" * 300) % quality.SLOTS == slots(long) % quality.SLOTS
+    assert slots("") % quality.SLOTS == zlib.crc32(b"#") % quality.SLOTS
