@@ -2,7 +2,12 @@
 
 from datetime import datetime, timedelta
 
+from ledgerlens import adapters as a
+from ledgerlens import registry
 from ledgerlens.operators import joins
+from ledgerlens.plans import marts
+
+FOLDER = "/root/testdata/sf0.001"
 
 
 def day(n):
@@ -28,3 +33,11 @@ def test_version_join_moves_each_version_once(spark, rows):
     assert rows(got, "f", "name") == sorted([(1, "a"), (2, "b"), (3, "b"), (4, None), (5, None), (6, None)], key=repr)
     inner = joins.version_join(facts, versions, ["k"], "t", how="inner")
     assert rows(inner, "f", "name") == [(1, "a"), (2, "b"), (3, "b")]
+
+
+def test_person_attributes_are_not_broadcast(spark):
+    """Persons join finished totals and bills by shuffle: their table grows with the input."""
+    persons = a.deputies(spark, FOLDER)
+    spent = marts.spend_per_person(registry._expense_facts(spark, FOLDER), persons)
+    joins_of_versions = [x for x in _plan(spent).splitlines() if "HashJoin" in x and "sk_deputado" in x]
+    assert joins_of_versions == []
