@@ -41,3 +41,7 @@ def test_person_attributes_are_not_broadcast(spark):
     spent = marts.spend_per_person(registry._expense_facts(spark, FOLDER), persons)
     joins_of_versions = [x for x in _plan(spent).splitlines() if "HashJoin" in x and "sk_deputado" in x]
     assert joins_of_versions == []
+
+
+def test_buckets_grow_with_the_table():
+    assert [registry._buckets(n) for n in (0, 4_000_000, 36_000_000)] == [16, 16, 144]
