@@ -120,6 +120,7 @@ def commit(
     order_by: Sequence[Column] = (),
     sequence: Sequence[str] = (),
     deletes: DataFrame | None = None,
+    unique: bool = False,
 ) -> int:
     """Merge a batch, and remove the keys of ``deletes``, as one new version; its number.
 
@@ -127,19 +128,27 @@ def commit(
     row that is as new stays. A key both in the batch and in ``deletes`` is kept. The key index
     names the periods where the keys are stored, so only those folders and those of the batch are
     read, and only folders with a changed row are rewritten. A batch that changes nothing, such as a
-    replayed one, makes no version.
+    replayed one, makes no version. ``unique`` says that the batch holds one row per key, so that it
+    need not be dealt by key to find out. What the first version inserts is written without a look
+    at stored rows.
     """
     keys, partition_by, columns, schema = list(keys), list(partition_by), batch.columns, batch.schema
     last = newest(spark, path)
     order = [F.col(c).desc() for c in sequence] + list(order_by) + [F.xxhash64(*columns)]
-    source = materialize(latest(batch.dropna(subset=keys), keys, order).select(*columns), "batch")
-    wanted = source.select(*keys)
-    if deletes is not None:
-        wanted = wanted.union(deletes.select(*keys).dropna())
+    source = batch.dropna(subset=keys)
+    source = source if unique else latest(source, keys, order).select(*columns)
     feed_path = _at(path, "feed", last + 1)
-    known = _located(spark, path, wanted, schema, partition_by, last)
-    stored = read(spark, path, schema, partition_by, last, known)
-    _feed(stored.join(wanted, keys, "left_semi"), source, keys, sequence, deletes).write.mode("overwrite").parquet(feed_path)
+    if last:
+        source = materialize(source, "batch")
+        wanted = source.select(*keys)
+        if deletes is not None:
+            wanted = wanted.union(deletes.select(*keys).dropna())
+        known = _located(spark, path, wanted, schema, partition_by, last)
+        stored = read(spark, path, schema, partition_by, last, known)
+        changed = _feed(stored.join(wanted, keys, "left_semi"), source, keys, sequence, deletes)
+    else:
+        changed = source.withColumn(KIND, F.lit(INSERT))
+    changed.write.mode("overwrite").parquet(feed_path)
     wide = T.StructType([*schema.fields, T.StructField(KIND, T.StringType())])
     feed = spark.read.schema(wide).parquet(feed_path)
     touched = [tuple(p) for p in feed.select(*partition_by).distinct().collect()]  # one row per folder
@@ -147,10 +156,13 @@ def commit(
         _drop(spark, feed_path)
         return last
 
-    old = read(spark, path, schema, partition_by, last, touched).join(feed.select(*keys).distinct(), keys, "left_anti")
     new = feed.where(F.col(KIND).isin(INSERT, AFTER)).select(*columns)
+    rows = new
+    if last:
+        old = read(spark, path, schema, partition_by, last, touched)
+        rows = old.join(feed.select(*keys), keys, "left_anti").unionByName(new)
     rows_path = _at(path, "rows", last + 1)
-    _by_period(old.unionByName(new), partition_by).write.mode("overwrite").option(
+    _by_period(rows, partition_by).write.mode("overwrite").option(
         "partitionOverwriteMode", "static"
     ).partitionBy(*partition_by).parquet(rows_path)
     _index(new, keys, partition_by).write.mode("overwrite").parquet(_at(path, "keys", last + 1))
@@ -200,8 +212,8 @@ def _folder(spark: SparkSession, names: Sequence[str], values: Row) -> str:
 
 
 def _index(rows: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
-    """Hash of every key beside its period."""
-    return rows.select(F.xxhash64(*keys).alias(_HASH), *partition_by).distinct()
+    """Hash of every key beside its period, for rows with one row per key."""
+    return rows.select(F.xxhash64(*keys).alias(_HASH), *partition_by)
 
 
 def _indexed(spark: SparkSession, path: str, last: int) -> list[str]:

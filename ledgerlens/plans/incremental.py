@@ -15,11 +15,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import rules
 from ledgerlens.functions.keys import surrogate_key
 from ledgerlens.functions.numeric import ratio
 from ledgerlens.operators import versioned
 from ledgerlens.operators.lineage import materialize
-from ledgerlens.plans import explore, facts, marts
+from ledgerlens.plans import explore, marts
 
 ROWS = "_rows"  # documents of a group; without any the group goes
 _GROUP, _BUCKET = "_group", "_bucket"
@@ -57,18 +58,20 @@ class Kept:
             "delta",
         )
         touched = delta.select(_BUCKET).distinct().collect()  # at most ``buckets`` rows
-        stored = versioned.read(spark, path, delta.schema, [_BUCKET], only=touched)
-        before = stored.select(_GROUP, *[F.col(c).alias(f"_old{c}") for c in names])
-        after = delta.join(before, _GROUP, "left").select(
-            *self.keys, _GROUP, _BUCKET,
-            *[
-                (F.col(c) + F.coalesce(f"_old{c}", F.lit(0))).cast(delta.schema[c].dataType).alias(c)
-                for c in names
-            ],
-        ).select(*delta.columns)
+        after = delta
+        if versioned.newest(spark, path):
+            stored = versioned.read(spark, path, delta.schema, [_BUCKET], only=touched)
+            before = stored.select(_GROUP, *[F.col(c).alias(f"_old{c}") for c in names])
+            after = delta.join(before, _GROUP, "left").select(
+                *self.keys, _GROUP, _BUCKET,
+                *[
+                    (F.col(c) + F.coalesce(f"_old{c}", F.lit(0))).cast(delta.schema[c].dataType).alias(c)
+                    for c in names
+                ],
+            ).select(*delta.columns)
         return versioned.commit(
             spark, path, after.where(F.col(ROWS) > 0), [_GROUP], [_BUCKET],
-            deletes=after.where(F.col(ROWS) <= 0).select(_GROUP),
+            deletes=after.where(F.col(ROWS) <= 0).select(_GROUP), unique=True,
         )
 
     def read(self, spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
@@ -85,11 +88,17 @@ SPENDING = Kept(
     ["_doc", "_net", "_cut", *marts.SPENDING_BANDS],
 )
 YEARLY = Kept(["deputado_id"], ["deputado_id", "ano"], ["_net"])
+# columns of a document that the two marts read, its key and order included
+READ = (
+    "deputado_id", "cod_documento", "cod_lote", "cnpj_cpf_fornecedor", "ano", "mes", "data_documento",
+    "valor_documento", "valor_glosa", "valor_liquido",
+)
 
 
 def spending_lines(feed: DataFrame, versions: DataFrame) -> DataFrame:
     """Changed documents as lines of ``SPENDING``."""
-    documents = facts.expense_fact(versioned.signed(feed).drop(versioned.KIND, versioned.VERSION))
+    documents = versioned.signed(feed).withColumnRenamed("deputado_id", "nk_deputado")
+    documents = documents.withColumn("faixa_valor", rules.value_band("valor_liquido"))
     amount = F.col("valor_documento")
     bands = {
         name: F.when(F.col("faixa_valor") == label, amount).otherwise(F.lit(0))

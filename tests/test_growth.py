@@ -2,9 +2,11 @@
 
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from ledgerlens import adapters as a
 from ledgerlens import registry
-from ledgerlens.operators import joins
+from ledgerlens.operators import joins, versioned
 from ledgerlens.plans import marts
 
 FOLDER = "/root/testdata/sf0.001"
@@ -45,3 +47,18 @@ def test_person_attributes_are_not_broadcast(spark):
 
 def test_buckets_grow_with_the_table():
     assert [registry._buckets(n) for n in (0, 4_000_000, 36_000_000)] == [16, 16, 144]
+
+
+def test_first_version_is_written_once_and_not_joined(spark, rows, tmp_path, monkeypatch):
+    """With nothing stored, the batch is neither copied nor compared; the table is the batch."""
+    def fail(*_):
+        raise AssertionError("the batch was copied")
+
+    path, batch = str(tmp_path / "t"), spark.createDataFrame([(1, 2019, "a"), (1, 2019, "b"), (2, 2020, "c")], "k int, ano int, v string")
+    with monkeypatch.context() as m:
+        m.setattr(versioned, "materialize", fail)
+        assert versioned.commit(spark, path, batch, ["k"], ["ano"], [F.col("v").desc()]) == 1
+    assert rows(versioned.read(spark, path, batch.schema, ["ano"])) == [(1, 2019, "b"), (2, 2020, "c")]
+    later = spark.createDataFrame([(2, 2021, "d")], batch.schema)
+    assert versioned.commit(spark, path, later, ["k"], ["ano"], unique=True) == 2
+    assert rows(versioned.read(spark, path, batch.schema, ["ano"])) == [(1, 2019, "b"), (2, 2021, "d")]
