@@ -11,7 +11,7 @@ from ledgerlens.functions.columns import truth
 from ledgerlens.functions.dates import days_between
 from ledgerlens.functions.keys import audit_hash, surrogate_key
 from ledgerlens.operators.joins import not_in
-from ledgerlens.operators.windows import in_buckets, next_in_buckets, previous_in_buckets
+from ledgerlens.operators.windows import LONG_LOG, by_length, in_buckets, next_in_buckets, previous_in_buckets
 
 
 def scd2_build(
@@ -21,30 +21,38 @@ def scd2_build(
     tracked: Sequence[str],
     tie: Sequence[Column] = (),
     unit: str = "month",
+    long_log: int = LONG_LOG,
 ) -> DataFrame:
     """Versions ``[valid_from, valid_to)`` of the tracked attributes, NULL for the open end.
 
     Rows without key or time are dropped. Of several rows of a key at one instant the first in
-    ``tie`` order counts. Runs of equal states collapse into one version. ``unit`` is the calendar
-    bucket in which one task handles one key; choose a finer one for keys with very dense logs.
+    ``tie`` order counts. Runs of equal states collapse into one version. A key with up to
+    ``long_log`` rows is one task's; the rows of longer logs are spread over calendar buckets, where
+    ``unit`` is the bucket in which one task handles one key: choose a finer one for very dense logs.
     """
     key, tracked = list(key), list(tracked)
     rows = log.dropna(subset=[*key, updated_at]).select(
         *log.columns, F.struct(*tracked).alias("_state")
     )
-    # all windows below share the partitioning by (key, bucket): one shuffle of the log
     order = list(tie) or [F.col("_state")]
-    instant = Window.partitionBy(*key, "_bucket", updated_at).orderBy(*order)
-    states = (
-        in_buckets(rows, updated_at, unit)
-        .repartition(*key, "_bucket")
-        .withColumn("_nth", F.row_number().over(instant))
-        .where(F.col("_nth") == 1)
-        .drop("_nth")
-    )
-    seen = previous_in_buckets(states, key, updated_at, "_state", "_before")
-    starts = seen.where(~F.col("_before").eqNullSafe(F.col("_state")))
-    versions = next_in_buckets(starts, key, updated_at, "valid_to")
+
+    def states(part: DataFrame, *by: str) -> DataFrame:
+        """One row per instant; all windows after it share its shuffle."""
+        instant = Window.partitionBy(*by, updated_at).orderBy(*order)
+        numbered = part.repartition(*by).withColumn("_nth", F.row_number().over(instant))
+        return numbered.where(F.col("_nth") == 1).drop("_nth")
+
+    def starts(seen: DataFrame) -> DataFrame:
+        return seen.where(~F.col("_before").eqNullSafe(F.col("_state")))
+
+    short, long = by_length(rows, key, long_log)
+    in_time = Window.partitionBy(*key).orderBy(updated_at)
+    whole = starts(states(short, *key).withColumn("_before", F.lag("_state").over(in_time)))
+    whole = whole.withColumn("valid_to", F.lead(updated_at).over(in_time))
+    spread = states(in_buckets(long, updated_at, unit), *key, "_bucket")
+    spread = starts(previous_in_buckets(spread, key, updated_at, "_state", "_before"))
+    spread = next_in_buckets(spread, key, updated_at, "valid_to").drop("_bucket")
+    versions = whole.unionByName(spread)
     attributes = [c for c in log.columns if c not in key and c != updated_at]
     return versions.select(
         surrogate_key(*key, updated_at).alias("scd_id"),
