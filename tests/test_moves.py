@@ -56,3 +56,10 @@ def test_previous_row_of_short_and_long_logs(spark, rows):
 
     assert before(100) == before(0) == before(5)
     assert len(before(100)) == sum(k is not None and t is not None for k, t, _, _ in ROWS)
+
+
+def test_averages_of_few_groups_do_not_move_the_rows(spark, rows):
+    df = spark.createDataFrame([("a", 1), ("a", 3), (None, 5)], "g string, v int")
+    both = joins.with_group_stats(df, ["g"], {"m": F.max("v")}, few=True)
+    assert "BroadcastHashJoin" in _plan(both)
+    assert rows(both) == rows(joins.with_group_stats(df, ["g"], {"m": F.max("v")}))
