@@ -63,3 +63,36 @@ def test_averages_of_few_groups_do_not_move_the_rows(spark, rows):
     both = joins.with_group_stats(df, ["g"], {"m": F.max("v")}, few=True)
     assert "BroadcastHashJoin" in _plan(both)
     assert rows(both) == rows(joins.with_group_stats(df, ["g"], {"m": F.max("v")}))
+
+
+def test_spending_moves_each_document_once(spark, rows):
+    """After the join with the versions the documents stay where they are, and are not hashed one by one."""
+    versions = a._deputy_versions(spark, FOLDER)
+    spent = marts.spend_per_person(registry._expense_facts(spark, FOLDER), versions)
+    text = _plan(spent)
+    assert "hashpartitioning(sk_deputado" not in text
+    assert not [x for x in text.splitlines() if "HashAggregate(keys" in x and "cod_documento" in x]
+
+
+def test_document_counts_once_over_lines_and_months(spark):
+    names = "nk_deputado, cod_documento, ano, mes, data_documento, valor_documento, valor_liquido, valor_glosa, faixa_valor"
+    lines = [
+        (1, 7, 2020, 1, day(5), 10, 9, 1, "ALTO"), (1, 7, 2020, 2, day(35), 20, 19, 1, "BAIXO"),
+        (1, 7, 2020, 2, day(35), 20, 19, 1, None), (1, 8, 2020, 2, day(36), 5, 5, 0, "ALTO"),
+        (1, None, 2020, 3, day(65), 1, 1, 0, "ALTO"), (2, 7, 2020, 1, day(5), 3, 3, 0, "MEDIO"),
+        (1, 9, 2020, 1, day(6), 0, 0, 0, "ALTO"),
+    ]
+    kinds = ["int", "int", "int", "int", "timestamp_ntz", "int", "int", "int", "string"]
+    df = spark.createDataFrame(lines, ", ".join(f"{n} {t}" for n, t in zip(names.split(", "), kinds)))
+    money = {n: F.col(n).cast("decimal(18,6)") for n in ("valor_documento", "valor_liquido", "valor_glosa")}
+    versions = spark.createDataFrame(
+        [("s", 1, "n", "c", "PT", "SP", "T", "E", day(0), None)],
+        "sk_deputado string, nk_deputado int, nome_deputado string, nome_civil string, sigla_partido string, "
+        "sigla_uf string, condicao_eleitoral string, situacao string, valid_from timestamp_ntz, valid_to timestamp_ntz",
+    )
+    got = {r.deputado_id: r for r in marts.spend_per_person(df.withColumns(money), versions).collect()}
+    one, two = got[1], got[2]
+    assert (one.total_documentos, one.total_meses_atividade, one.valor_total_gasto) == (2, 3, 56)
+    assert (one.gastos_valor_alto, one.gastos_valor_baixo, one.valor_medio_mensal) == (16, 20, 11.2)
+    assert (one.nome_deputado, two.nome_deputado, two.sigla_uf) == ("n", "Deputado ID: 2", "N/A")
+    assert (two.sk_deputado, two.total_documentos) == ("DEPUTADO_NAO_ENCONTRADO_2", 1)
