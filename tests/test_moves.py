@@ -96,3 +96,9 @@ def test_document_counts_once_over_lines_and_months(spark):
     assert (one.gastos_valor_alto, one.gastos_valor_baixo, one.valor_medio_mensal) == (16, 20, 11.2)
     assert (one.nome_deputado, two.nome_deputado, two.sigla_uf) == ("n", "Deputado ID: 2", "N/A")
     assert (two.sk_deputado, two.total_documentos) == ("DEPUTADO_NAO_ENCONTRADO_2", 1)
+
+
+def test_landed_documents_move_to_their_person_at_once(spark):
+    """Distinct documents and the version join share one shuffle of the documents."""
+    text = _plan(registry.spend_on_person_pipeline(spark, FOLDER))
+    assert not [x for x in text.splitlines() if "hashpartitioning" in x and "cod_documento" in x.split("hashpartitioning")[1].split(")")[0]]
