@@ -102,3 +102,10 @@ def test_landed_documents_move_to_their_person_at_once(spark):
     """Distinct documents and the version join share one shuffle of the documents."""
     text = _plan(registry.spend_on_person_pipeline(spark, FOLDER))
     assert not [x for x in text.splitlines() if "hashpartitioning" in x and "cod_documento" in x.split("hashpartitioning")[1].split(")")[0]]
+
+
+def test_listing_is_filtered_before_names_are_joined(spark):
+    """Year and party reach the documents before they move to kinds and suppliers."""
+    plan = registry.detail_listing(spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joined = {k: next(i for i, x in enumerate(plan) if "Join" in x and k in x) for k in ("_part", "valid_from", "_supplier")}
+    assert joined["valid_from"] > joined["_part"] and joined["valid_from"] > joined["_supplier"]
