@@ -4,8 +4,10 @@ Time is counted in ticks (days or seconds). A range of ticks is cut into nodes o
 over all ticks, at most two of each level, and a point asks for the one node of each level that
 holds it. So a range and a point meet in exactly one node or in none, whether the range lasts a
 second or a century: the join is an equi-join on (level, node) and needs neither a calendar key nor
-limits on the years. Points ask only for levels that occur. On the highest of these there are few
-nodes, so their rows are salted.
+limits on the years. Nodes much smaller than a range are not cut: its two ends are rounded outwards to
+a node of at most a quarter of its length, and the times themselves decide on what meets there.
+Points ask only for levels that occur. On the highest of these there are few nodes, so their rows
+are salted.
 """
 
 from __future__ import annotations
@@ -16,8 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SALTED_LEVELS = 4
+_SALTED_LEVELS, _SALTED_LEVELS_PER_KEY = 4, 2
 _SALTS, _SALTS_PER_KEY = 32, 4  # keys in ``on`` spread the nodes already
+_ROUNDED_LEVELS = 2  # a range is cut from this many levels below its length on
 
 
 def tick(df: DataFrame, c: str, unit: str) -> Column:
@@ -46,6 +49,13 @@ def nodes(first: Column, last: Column) -> Column:
     return F.array_compact(F.flatten(F.transform(levels, at)))
 
 
+def rounded(first: Column, last: Column) -> tuple[Column, Column]:
+    """The range with both ends moved outwards to nodes of a quarter to an eighth of its length."""
+    level = F.greatest(F.floor(F.log2((last - first + 1).cast("double"))).cast("int") - _ROUNDED_LEVELS, F.lit(0))
+    size = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+    return first - F.pmod(first, size), last + size - 1 - F.pmod(last, size)
+
+
 def matches(
     points: DataFrame,
     ranges: DataFrame,
@@ -62,6 +72,7 @@ def matches(
     without a start or a point's time match nothing.
     """
     on, salts = list(on), F.lit(_SALTS_PER_KEY if on else _SALTS)
+    salted_levels = _SALTED_LEVELS_PER_KEY if on else _SALTED_LEVELS
     values = points.select(*on, at).dropna().distinct().withColumn("_tick", tick(points, at, unit))
     span = values.agg(F.struct(F.min("_tick").alias("lo"), F.max("_tick").alias("hi"))).scalar()
     kept = ranges.select(
@@ -71,9 +82,11 @@ def matches(
         F.least(F.coalesce(tick(ranges, end, unit), span["hi"]), span["hi"]).alias("_hi"),
     )
     kept = kept.where(F.col(start).isNotNull() & (F.col("_lo") <= F.col("_hi")))
+    first, last = rounded(F.col("_lo"), F.col("_hi"))
+    kept = kept.withColumns({"_lo": first, "_hi": last})
     cut = kept.withColumn("_n", F.explode(nodes(F.col("_lo"), F.col("_hi")))).drop("_lo", "_hi")
     levels = cut.agg(F.collect_set("_n.level")).scalar()
-    salted = lambda level: level > F.array_max(levels) - _SALTED_LEVELS
+    salted = lambda level: level > F.array_max(levels) - salted_levels
     every = F.sequence(F.lit(0), salts - 1)
     cut = cut.withColumn("_salt", F.explode(F.when(salted(F.col("_n.level")), every).otherwise(F.array(F.lit(0)))))
     one = F.pmod(F.xxhash64(*on, at), salts).cast("int")

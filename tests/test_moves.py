@@ -109,3 +109,27 @@ def test_listing_is_filtered_before_names_are_joined(spark):
     plan = registry.detail_listing(spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     joined = {k: next(i for i, x in enumerate(plan) if "Join" in x and k in x) for k in ("_part", "valid_from", "_supplier")}
     assert joined["valid_from"] > joined["_part"] and joined["valid_from"] > joined["_supplier"]
+
+
+def test_ranges_are_cut_into_nodes_of_their_own_size(spark):
+    """No more nodes for a second's precision: they cover the range and not much beside it."""
+    cases = [(s, s + n) for s in (-70, 0, 5, 1_580_000_001) for n in (0, 1, 7, 86_399, 400 * 86_400, 10**10)]
+    df = spark.createDataFrame(cases, "a bigint, b bigint")
+    first, last = intervals.rounded(F.col("a"), F.col("b"))
+    df = df.select("a", "b", first.alias("lo"), last.alias("hi"), intervals.nodes(first, last).alias("n"))
+    for x in df.collect():
+        length = x.b - x.a + 1
+        assert x.lo <= x.a and x.b <= x.hi and x.hi - x.lo + 1 <= length * 3 // 2
+        assert len(x.n) <= 8 and sum(1 << level for level, _ in x.n) == x.hi - x.lo + 1
+
+
+def test_points_ask_for_few_levels(spark, rows):
+    """Versions of months need no node of seconds, and the times decide at their ends."""
+    points = spark.createDataFrame([(1, day(0)), (1, day(99)), (1, day(100)), (1, day(350)), (2, day(5))], "k int, t timestamp_ntz")
+    ranges = spark.createDataFrame(
+        [(1, "a", day(0), day(100)), (1, "b", day(100), day(300))], "k int, v string, s timestamp_ntz, e timestamp_ntz"
+    )
+    got = intervals.range_join(points, ranges, "t", "s", "e", "left", ["k"], "second", False)
+    assert rows(got, "k", "t", "v") == sorted(
+        [(1, day(0), "a"), (1, day(99), "a"), (1, day(100), "b"), (1, day(350), None), (2, day(5), None)], key=repr
+    )
