@@ -31,15 +31,14 @@ def scd2_build(
     ``unit`` is the bucket in which one task handles one key: choose a finer one for very dense logs.
     """
     key, tracked = list(key), list(tracked)
-    rows = log.dropna(subset=[*key, updated_at]).select(
-        *log.columns, F.struct(*tracked).alias("_state")
-    )
+    rows = log.dropna(subset=[*key, updated_at])
     order = list(tie) or [F.col("_state")]
 
     def states(part: DataFrame, *by: str) -> DataFrame:
-        """One row per instant; all windows after it share its shuffle."""
+        """One row per instant with its state; all windows after it share its shuffle."""
         instant = Window.partitionBy(*by, updated_at).orderBy(*order)
-        numbered = part.repartition(*by).withColumn("_nth", F.row_number().over(instant))
+        moved = part.repartition(*by).withColumn("_state", F.struct(*tracked))  # not moved beside its columns
+        numbered = moved.withColumn("_nth", F.row_number().over(instant))
         return numbered.where(F.col("_nth") == 1).drop("_nth")
 
     def starts(seen: DataFrame) -> DataFrame:

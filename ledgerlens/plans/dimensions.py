@@ -10,6 +10,7 @@ from ledgerlens.functions.keys import surrogate_key
 from ledgerlens.functions.rules import classify
 from ledgerlens.operators.history import prefer_first, scd2_build, version_flags
 from ledgerlens.operators.intervals import range_join
+from ledgerlens.operators.lineage import materialize
 from ledgerlens.operators.ordered import ordered_prefix
 from ledgerlens.operators.windows import mode_of
 
@@ -99,7 +100,7 @@ def person_history(profiles: DataFrame, history: DataFrame) -> DataFrame:
         "nome_deputado", "nome_eleitoral", "sigla_partido", "sigla_uf", "id_legislatura",
         "condicao_eleitoral", "situacao",
     ]
-    log = person_log(profiles, history)
+    log = materialize(person_log(profiles, history), "log")  # counted by person, then read
     order = [F.col("fonte_origem").asc(), F.col("sigla_partido").asc()]
     return scd2_build(log, ["deputado_id"], "data_atualizacao", tracked, order)
 

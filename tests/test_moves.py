@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlens import adapters as a
 from ledgerlens import registry
 from ledgerlens.operators import history, intervals, joins, windows
-from ledgerlens.plans import marts
+from ledgerlens.plans import dimensions, marts
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -104,6 +104,13 @@ def test_landed_documents_move_to_their_person_at_once(spark):
     assert not [x for x in text.splitlines() if "hashpartitioning" in x and "cod_documento" in x.split("hashpartitioning")[1].split(")")[0]]
 
 
+def test_person_log_is_cleaned_once(spark):
+    """The versions count and read a stored log instead of cleaning and shuffling it for each of the two."""
+    people = registry._people(spark, FOLDER)
+    assert "WindowGroupLimit" in _plan(people[1])
+    assert "WindowGroupLimit" not in _plan(dimensions.person_dimension(*people, registry.AS_OF))
+
+
 def test_listing_is_filtered_before_names_are_joined(spark):
     """Year and party reach the documents before they move to kinds and suppliers."""
     plan = registry.detail_listing(spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString().splitlines()
