@@ -7,7 +7,10 @@ second or a century: the join is an equi-join on (level, node) and needs neither
 limits on the years. Nodes much smaller than a range are not cut: its two ends are rounded outwards to
 a node of at most a quarter of its length, and the times themselves decide on what meets there.
 Points ask only for levels that occur. On the highest of these there are few nodes, so their rows
-are salted.
+are salted where there are many points: every salt repeats the ranges.
+
+No side is broadcast by Spark's estimate of its size, which knows nothing of the nodes of a range
+and takes columns read from compressed files for smaller than they are at the driver.
 """
 
 from __future__ import annotations
@@ -19,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SALTED_LEVELS, _SALTED_LEVELS_PER_KEY = 4, 2
-_SALTS, _SALTS_PER_KEY = 32, 4  # keys in ``on`` spread the nodes already
+_SALTS, _SALTS_PER_KEY = 32, 4  # at most; keys in ``on`` spread the nodes already
+_POINTS_PER_SALT = 128  # a node with no more points needs no salts
 _ROUNDED_LEVELS = 2  # a range is cut from this many levels below its length on
 
 
@@ -71,10 +75,17 @@ def matches(
     Ranges are ``[start, end]``, or ``[start, end)`` where not ``closed``; a NULL end is open. Rows
     without a start or a point's time match nothing.
     """
-    on, salts = list(on), F.lit(_SALTS_PER_KEY if on else _SALTS)
+    on, most = list(on), _SALTS_PER_KEY if on else _SALTS
     salted_levels = _SALTED_LEVELS_PER_KEY if on else _SALTED_LEVELS
     values = points.select(*on, at).dropna().distinct().withColumn("_tick", tick(points, at, unit))
-    span = values.agg(F.struct(F.min("_tick").alias("lo"), F.max("_tick").alias("hi"))).scalar()
+    needed = F.ceil(F.count(F.lit(1)) / F.lit(_POINTS_PER_SALT)).cast("int")
+    span = values.agg(
+        F.struct(
+            F.min("_tick").alias("lo"), F.max("_tick").alias("hi"),
+            F.greatest(F.lit(1), F.least(F.lit(most), needed)).alias("salts"),
+        )
+    ).scalar()
+    salts = span["salts"]
     kept = ranges.select(
         *[F.col(k).alias(f"_r_{k}") for k in on],
         *[c for c in ranges.columns if c not in on],
@@ -102,8 +113,9 @@ def matches(
     )
     for k in on:
         same = same & (F.col(k) == F.col(f"_r_{k}"))
-    found = asked.join(cut, same)
-    return found.drop("_level", "_node", "_own", "_n", "_salt", *[f"_r_{k}" for k in on])
+    # the points of a node and salt are few: the join holds them and streams the ranges
+    found = cut.hint("merge").join(asked, same)
+    return found.select(*on, at, *[c for c in ranges.columns if c not in on])
 
 
 def range_join(
@@ -119,7 +131,9 @@ def range_join(
 ) -> DataFrame:
     """Points beside the ranges that cover them; see :func:`matches` for what covers what.
 
-    Equal times are matched once and joined back, so a ``left`` join keeps uncovered points.
+    Equal times are matched once and joined back, so a ``left`` join keeps uncovered points. A
+    ``right`` join has the rows of an ``inner`` one; it holds equal points and streams their ranges,
+    where ``inner`` holds the ranges and streams the points.
     """
     found = matches(points, ranges, at, start, end, on, unit, closed)
     keys = [*on, at]
@@ -127,6 +141,7 @@ def range_join(
     same = F.lit(True)
     for k in keys:
         same = same & (F.col(k) == F.col(f"_m_{k}"))
+    found = found if how == "left" else found.hint("merge")  # else the points might be broadcast
     return points.join(found, same, how).drop(*[f"_m_{k}" for k in keys])
 
 
@@ -153,6 +168,6 @@ def overlaps(
 
     left, right = alive(left, ls, le), alive(right, rs, re)
     names = [*left.columns, *[c for c in right.columns if c not in on]]
-    inside = range_join(right, left, rs, ls, le, "inner", on, unit, closed).select(*names)
+    inside = range_join(right, left, rs, ls, le, "right", on, unit, closed).select(*names)
     after = range_join(left, right, ls, rs, re, "inner", on, unit, closed).where(F.col(ls) > F.col(rs))
     return inside.unionByName(after.select(*names))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import adapters as a
 from ledgerlens import registry
-from ledgerlens.operators import joins, versioned
+from ledgerlens.operators import intervals, joins, versioned
 from ledgerlens.plans import marts
 
 FOLDER = "/root/testdata/sf0.001"
@@ -62,3 +62,19 @@ def test_first_version_is_written_once_and_not_joined(spark, rows, tmp_path, mon
     later = spark.createDataFrame([(2, 2021, "d")], batch.schema)
     assert versioned.commit(spark, path, later, ["k"], ["ano"], unique=True) == 2
     assert rows(versioned.read(spark, path, batch.schema, ["ano"])) == [(1, 2019, "b"), (2, 2021, "d")]
+
+
+def test_overlaps_broadcast_neither_ranges_nor_their_nodes(spark, rows, tmp_path):
+    """Stored ranges look small to Spark; their nodes are many times more rows than that."""
+    path = str(tmp_path / "versions")
+    versions = spark.createDataFrame(
+        [(1, day(0), day(9)), (1, day(9), None), (2, day(40), day(60)), (3, day(-90), day(-80)), (4, None, day(3))],
+        "k int, de timestamp_ntz, ate timestamp_ntz",
+    )
+    versions.write.parquet(path)
+    terms = spark.createDataFrame([("a", day(-9), day(20)), ("b", day(21), day(50))], "term string, a timestamp_ntz, b timestamp_ntz")
+    both = intervals.overlaps(spark.read.schema(versions.schema).parquet(path), terms, ("de", "ate"), ("a", "b"))
+    assert "Broadcast" not in _plan(both)
+    assert rows(both, "k", "de", "term") == sorted(
+        [(1, day(0), "a"), (1, day(9), "a"), (1, day(9), "b"), (2, day(40), "b")], key=repr
+    )
