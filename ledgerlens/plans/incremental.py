@@ -12,14 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import rules
 from ledgerlens.functions.keys import surrogate_key
 from ledgerlens.functions.numeric import ratio
 from ledgerlens.operators import versioned
-from ledgerlens.operators.lineage import materialize
 from ledgerlens.plans import explore, marts
 
 ROWS = "_rows"  # documents of a group; without any the group goes
@@ -49,36 +48,25 @@ class Kept:
         moved = F.lit(False)
         for c in names:
             moved = moved | (F.col(c) != 0)
-        delta = materialize(
-            delta.where(moved).select(
-                "*",
-                surrogate_key(*self.keys).alias(_GROUP),
-                F.pmod(F.xxhash64(*self.entity), F.lit(self.buckets)).cast("int").alias(_BUCKET),
-            ),
-            "delta",
+        delta = delta.where(moved).select(
+            "*",
+            F.unhex(surrogate_key(*self.keys)).alias(_GROUP),
+            F.pmod(F.xxhash64(*self.entity), F.lit(self.buckets)).cast("int").alias(_BUCKET),
         )
-        touched = delta.select(_BUCKET).distinct().collect()  # at most ``buckets`` rows
-        after = delta
-        if versioned.newest(spark, path):
-            stored = versioned.read(spark, path, delta.schema, [_BUCKET], only=touched)
-            before = stored.select(_GROUP, *[F.col(c).alias(f"_old{c}") for c in names])
-            after = delta.join(before, _GROUP, "left").select(
-                *self.keys, _GROUP, _BUCKET,
-                *[
-                    (F.col(c) + F.coalesce(f"_old{c}", F.lit(0))).cast(delta.schema[c].dataType).alias(c)
-                    for c in names
-                ],
-            ).select(*delta.columns)
+
+        def total(new: Column, old: Column) -> Column:
+            sums = {c: (new[c] + F.coalesce(old[c], F.lit(0))).cast(delta.schema[c].dataType) for c in names}
+            return F.when(sums[ROWS] > 0, F.struct(*[sums.get(c, new[c]).alias(c) for c in delta.columns]))
+
         return versioned.commit(
-            spark, path, after.where(F.col(ROWS) > 0), [_GROUP], [_BUCKET],
-            deletes=after.where(F.col(ROWS) <= 0).select(_GROUP), unique=True,
-        )
+            spark, path, delta, [_GROUP], [_BUCKET], unique=True, few=True, settled=True, combine=total
+        )
 
     def read(self, spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
         """The kept totals; ``like`` are lines as given to ``apply``, for the types of the keys."""
         fields = [f"{like.schema[k].name} {like.schema[k].dataType.simpleString()}" for k in self.keys]
         fields += [f"{ROWS} bigint", *[f"{c} decimal(38,6)" for c in self.sums]]
-        schema = spark.createDataFrame([], ", ".join([*fields, f"{_GROUP} string", f"{_BUCKET} int"])).schema
+        schema = spark.createDataFrame([], ", ".join([*fields, f"{_GROUP} binary", f"{_BUCKET} int"])).schema
         return versioned.read(spark, path, schema, [_BUCKET]).drop(_GROUP, _BUCKET)
 
 

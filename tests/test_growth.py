@@ -1,12 +1,13 @@
 """Steps whose work, memory and disk grow no faster than their input."""
 
+import os
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from ledgerlens import adapters as a
 from ledgerlens import registry
-from ledgerlens.operators import intervals, joins, versioned
+from ledgerlens.operators import intervals, joins, lineage, versioned
 from ledgerlens.plans import marts
 
 FOLDER = "/root/testdata/sf0.001"
@@ -78,3 +79,64 @@ def test_overlaps_broadcast_neither_ranges_nor_their_nodes(spark, rows, tmp_path
     assert rows(both, "k", "de", "term") == sorted(
         [(1, day(0), "a"), (1, day(9), "a"), (1, day(9), "b"), (2, day(40), "b")], key=repr
     )
+
+
+def test_a_commit_writes_every_row_once(spark, rows, tmp_path):
+    """Feed and table share their files, the batch's copy goes, and the session's settings stay."""
+    path, work = str(tmp_path / "t"), lineage.working_folder(spark).removeprefix("file:")
+    schema = "k int, ano int, v string"
+
+    def stored(version):
+        return spark.read.parquet(f"{path}/rows/version={version}").count() if version in versions(path) else 0
+
+    def versions(at):
+        return [int(n.split("=")[1]) for n in os.listdir(f"{at}/rows")]
+
+    def copies():
+        return set(os.listdir(work)) if os.path.exists(work) else set()
+
+    before = copies()
+    first = spark.createDataFrame([(k, 2019 + k % 3, "a") for k in range(30)], schema)
+    assert versioned.commit(spark, path, first, ["k"], ["ano"], few=True) == 1
+    assert not os.path.exists(f"{path}/feed") and stored(1) == 30
+    batch = spark.createDataFrame([(0, 2019, "b"), (3, 2020, "b"), (99, 2020, "b"), (6, 2019, "a")], schema)
+    gone = spark.createDataFrame([(9,), (9,), (0,), (500,), (None,)], "k int")
+    assert versioned.commit(spark, path, batch, ["k"], ["ano"], deletes=gone, few=True) == 2
+    # two updated ones twice, one inserted, one deleted, 7 and 10 others of the two periods
+    assert stored(2) == 2 * 2 + 1 + 1 + 7 + 10
+    feed = versioned.changes(spark, path, first.schema, 1)
+    assert rows(feed.groupBy(versioned.KIND).count()) == [("delete", 1), ("insert", 1), ("update_after", 2), ("update_before", 2)]
+    want = {k: (k, 2019 + k % 3, "a") for k in range(30) if k != 9} | {0: (0, 2019, "b"), 3: (3, 2020, "b"), 99: (99, 2020, "b")}
+    assert rows(versioned.read(spark, path, first.schema, ["ano"])) == sorted(want.values(), key=repr)
+    assert copies() == before and spark.conf.get(lineage._SHORT) == "false"
+    assert versioned.commit(spark, path, batch, ["k"], ["ano"], deletes=gone, few=True) == 2 and 3 not in versions(path)
+
+
+def test_combined_rows_stay_in_the_folder_of_their_key(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "t"), "k int, place int, n int"
+
+    def add(new, old):
+        n = new["n"] + F.coalesce(old["n"], F.lit(0))
+        return F.when(n > 0, F.struct(new["k"].alias("k"), new["place"].alias("place"), n.alias("n")))
+
+    def apply(*lines):
+        batch = spark.createDataFrame([(k, k % 4, n) for k, n in lines], schema)
+        return versioned.commit(spark, path, batch, ["k"], ["place"], unique=True, few=True, settled=True, combine=add)
+
+    assert apply((1, 5), (2, 1), (3, -1), (5, 2)) == 1
+    assert apply((1, -5), (2, 4), (6, 3), (7, -2), (5, 0)) == 2
+    like = spark.createDataFrame([], schema).schema
+    assert rows(versioned.read(spark, path, like, ["place"])) == [(2, 2, 5), (5, 1, 2), (6, 2, 3)]
+    assert rows(versioned.read(spark, path, like, ["place"], 1)) == [(1, 1, 5), (2, 2, 1), (5, 1, 2)]
+    assert rows(versioned.changes(spark, path, like, 1), "k", versioned.KIND, "n") == sorted(
+        [(1, "delete", 5), (2, "update_before", 1), (2, "update_after", 5), (6, "insert", 3)], key=repr
+    )
+    assert not os.path.exists(f"{path}/keys")
+
+
+def test_an_empty_period_name_loses_no_rows(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "t"), "k int, p string, v int"
+    for batch in ([(1, "", 1), (2, None, 1), (3, "x", 1)], [(1, "", 2), (4, "", 2)]):
+        versioned.commit(spark, path, spark.createDataFrame(batch, schema), ["k"], ["p"])
+    like = spark.createDataFrame([], schema).schema
+    assert rows(versioned.read(spark, path, like, ["p"]), "k", "v") == [(1, 2), (2, 1), (3, 1), (4, 2)]
