@@ -172,12 +172,12 @@ def commit(
         hit = source.select(*partition_by).distinct().collect()  # one row per folder
         if deletes is not None:
             deletes = copied(deletes.select(*keys).dropna().distinct(), "deletes")
-        if not settled:
+        held = {tuple(p)[:-1] for p in periods(spark, path, partition_by, last, schema)}
+        hit = held & {_named(p) for p in hit}
+        if not settled and hit != held:
             wanted = source.select(*keys)
             wanted = wanted if deletes is None else wanted.union(deletes)
-            hit += _located(spark, path, wanted, schema, partition_by, last)
-        hit = {tuple(None if x == "" else x for x in p) for p in hit}  # an empty name is stored as NULL
-        hit &= {tuple(p)[:-1] for p in periods(spark, path, partition_by, last, schema)}
+            hit |= held & {_named(p) for p in _located(spark, path, wanted, schema, partition_by, last)}
         stored = read(spark, path, schema, partition_by, last, hit)
     source = source if unique else latest(source, keys, order).select(*columns)
     written = _merged(stored, source, keys, sequence, deletes, combine)
@@ -246,6 +246,11 @@ def _at(path: str, part: str, version: int) -> str:
     return f"{path}/{part}/version={version}"
 
 
+def _named(period: Sequence) -> tuple:
+    """A period as folders name it: an empty text is stored as NULL."""
+    return tuple(None if x == "" else x for x in period)
+
+
 def _kind(path: str, version: int, kind: str) -> str:
     return f"{_at(path, 'rows', version)}/{KIND}={kind}"
 

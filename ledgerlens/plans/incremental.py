@@ -101,7 +101,8 @@ def spending_lines(feed: DataFrame, versions: DataFrame) -> DataFrame:
 def spending(totals: DataFrame, versions: DataFrame) -> DataFrame:
     """Spending per person version out of the kept totals: the same as ``marts.spend_per_person``."""
     sums = [ROWS, *SPENDING.sums]
-    merged = totals.groupBy(*marts.VERSION, "cod_documento", "_month").agg(
+    dealt = totals.repartition("nk_deputado")  # once for all that follows: a person's totals are one task's
+    merged = dealt.groupBy(*marts.VERSION, "cod_documento", "_month").agg(
         *[F.sum(c).alias(c) for c in sums],
         F.min("data_documento").alias("_first"), F.max("data_documento").alias("_last"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens import adapters as a
 from ledgerlens import registry
 from ledgerlens.operators import intervals, joins, lineage, versioned
-from ledgerlens.plans import marts
+from ledgerlens.plans import incremental, marts
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -140,3 +140,26 @@ def test_an_empty_period_name_loses_no_rows(spark, rows, tmp_path):
         versioned.commit(spark, path, spark.createDataFrame(batch, schema), ["k"], ["p"])
     like = spark.createDataFrame([], schema).schema
     assert rows(versioned.read(spark, path, like, ["p"]), "k", "v") == [(1, 2), (2, 1), (3, 1), (4, 2)]
+
+
+def test_kept_spending_is_dealt_once(spark):
+    """Sums, first months and the person's version all work on totals that lie by person."""
+    versions = a.deputies(spark, FOLDER)
+    keys = ", ".join(
+        f"{k} {t}" for k, t in zip(incremental.SPENDING.keys, ("bigint", "string", "bigint", "int", "timestamp_ntz"), strict=True)
+    )
+    sums = ", ".join(f"{c} decimal(38,6)" for c in incremental.SPENDING.sums)
+    totals = spark.createDataFrame([], f"{keys}, {incremental.ROWS} bigint, {sums}")
+    plan = _plan(incremental.spending(totals, versions))
+    assert plan.count("Exchange hashpartitioning") == 2  # totals, and the versions
+
+
+def test_keys_are_not_looked_up_when_all_periods_are_hit(spark, rows, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "t"), "k int, ano int, v string"
+    looked, located = [], versioned._located
+    monkeypatch.setattr(versioned, "_located", lambda *x: looked.append(1) or located(*x))
+    for batch in ([(1, 2019, "a"), (2, 2020, "a")], [(1, 2020, "b"), (3, 2019, "b")], [(3, 2020, "c")]):
+        versioned.commit(spark, path, spark.createDataFrame(batch, schema), ["k"], ["ano"])
+    assert len(looked) == 1  # the last batch names one period, and its key lies in the other
+    like = spark.createDataFrame([], schema).schema
+    assert rows(versioned.read(spark, path, like, ["ano"])) == [(1, 2020, "b"), (2, 2020, "a"), (3, 2020, "c")]
